@@ -344,3 +344,59 @@ def q_union_flows(spark, sf):
     b = ev.filter(F.coalesce(~F.col("event_type").isin("click", "view"), F.lit(True))).select(
         "value", "event_type", "user_id", "event_id")
     return sampling.union_flows(a, b)
+
+
+# ----------------------------------------------------------------------------- G4
+_SMOTE_SQL = f"""
+WITH pts AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+sz AS (SELECT label, count(*) AS n FROM pts GROUP BY label),
+mx AS (SELECT max(n) AS m FROM sz),
+need AS (SELECT label, n, (m - n) // n AS per_row, (m - n) % n AS extra, least(5, n - 1) AS k
+         FROM sz, mx WHERE m - n > 0),
+rk AS (SELECT label, vec_id, x,
+              row_number() OVER (PARTITION BY label
+                                 ORDER BY {sql_hash_u32(f"{SEED}:extra", "vec_id")}, vec_id) AS rn
+       FROM pts),
+bases AS (SELECT rk.label, rk.vec_id, rk.x, need.k,
+                 need.per_row + CASE WHEN rk.rn <= need.extra THEN 1 ELSE 0 END AS reps
+          FROM rk JOIN need USING (label)),
+nn AS (SELECT b.vec_id, o.vec_id AS nb,
+              row_number() OVER (PARTITION BY b.vec_id ORDER BY
+                  list_sum(list_transform(b.x, lambda v, i: (v - o.x[i]) * (v - o.x[i]))), o.vec_id) AS rank
+       FROM bases b JOIN pts o ON o.label = b.label AND o.vec_id <> b.vec_id
+       WHERE b.reps > 0),
+draws AS (SELECT label, vec_id, x, k, unnest(range(0, reps)) AS draw FROM bases WHERE reps > 0),
+dr AS (SELECT *, CAST(floor({sql_hash_uniform(SEED, "'nb'", "vec_id", "draw")} * k) AS INTEGER) + 1 AS rank,
+              {sql_hash_uniform(SEED, "'gap'", "vec_id", "draw")} AS gap
+       FROM draws),
+syn AS (SELECT dr.label, dr.vec_id AS base_key, dr.draw, nn.nb AS neighbour_key, dr.gap,
+               list_transform(dr.x, lambda v, i: v + dr.gap * (o.x[i] - v)) AS x
+        FROM dr JOIN nn ON nn.vec_id = dr.vec_id AND nn.rank = dr.rank
+        JOIN pts o ON o.vec_id = nn.nb)
+"""
+
+
+def _smote_embeddings(spark, sf):
+    from flowml.operators.smote import synthesize
+    emb = I.table(spark, sf, "embeddings")
+    return synthesize(emb, "label", "embedding", "vec_id", k=5, seed=SEED)
+
+
+@query("smote", _SMOTE_SQL + """
+SELECT label, base_key, draw, neighbour_key, round(gap, 6) AS gap,
+       list_transform(x, lambda v: round(v, 6)) AS x
+FROM syn""")
+def q_smote(spark, sf):
+    syn = _smote_embeddings(spark, sf)
+    return syn.select("label", "base_key", "draw", "neighbour_key", r6(F.col("gap")).alias("gap"),
+                      F.transform("_x", lambda v: F.round(v, 6)).alias("x"))
+
+
+@query("smote_histogram", _SMOTE_SQL + """
+SELECT label, count(*) AS n FROM (SELECT label FROM pts UNION ALL SELECT label FROM syn)
+GROUP BY label""")
+def q_smote_histogram(spark, sf):
+    syn = _smote_embeddings(spark, sf)
+    emb = I.table(spark, sf, "embeddings")
+    both = emb.select("label").unionByName(syn.select("label"))
+    return metrics.class_histogram(both, "label")
