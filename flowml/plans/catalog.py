@@ -400,3 +400,147 @@ def q_smote_histogram(spark, sf):
     emb = I.table(spark, sf, "embeddings")
     both = emb.select("label").unionByName(syn.select("label"))
     return metrics.class_histogram(both, "label")
+
+
+# ----------------------------------------------------------------------------- H
+def _bayes_model(spark, sf):
+    from flowml.operators.models import train
+    frame = I.bayes_frame(I.table(spark, sf, "lineitem"))
+    feats = [f"f{i}" for i in range(len(I.BAYES_FEATURES))]
+    data = features.assemble(frame, feats)
+    return data, train("bayes", data, label="label")
+
+
+_D = len(I.BAYES_FEATURES)
+
+
+@query("bayes_params", I.BAYES_SQL + "SELECT label, round(pi, 6) AS pi, "
+       + ", ".join(f"round(t{i}, 6) AS theta_{i}" for i in range(_D)) + " FROM par")
+def q_bayes_params(spark, sf):
+    from flowml.operators.models import bayes_parameters
+    _, model = _bayes_model(spark, sf)
+    pi, theta = bayes_parameters(model)
+    # Bounded: classes x features values produced by the fitted model.
+    rows = [(float(c), round(pi[c], 6), *[round(v, 6) for v in theta[c]]) for c in range(len(pi))]
+    schema = "label double, pi double, " + ", ".join(f"theta_{i} double" for i in range(_D))
+    return spark.createDataFrame(rows, schema)
+
+
+def _bayes_predict_sql() -> str:
+    n = len(I.RETURNFLAG_CLASSES)
+    score = []
+    for c in range(n):
+        p = f"(SELECT {{col}} FROM par WHERE label = {float(c)})"
+        terms = [p.format(col="pi")] + [f"t.f{i} * " + p.format(col=f"t{i}") for i in range(_D)]
+        score.append(f"{' + '.join(terms)} AS s{c}")
+    # First maximum wins, like an argmax over the class index.
+    whens = []
+    for c in range(n - 1):
+        conds = " AND ".join(f"s{c} >= s{o}" for o in range(n) if o != c and o > c)
+        conds2 = " AND ".join(f"s{c} > s{o}" for o in range(c))
+        cond = " AND ".join(x for x in [conds, conds2] if x)
+        whens.append(f"WHEN {cond} THEN {float(c)}")
+    return (I.BAYES_SQL + ", sc AS (SELECT l_orderkey, l_linenumber, " + ", ".join(score)
+            + " FROM t) SELECT l_orderkey, l_linenumber, CASE " + " ".join(whens)
+            + f" ELSE {float(n - 1)} END AS prediction FROM sc")
+
+
+@query("bayes_predict", _bayes_predict_sql())
+def q_bayes_predict(spark, sf):
+    data, model = _bayes_model(spark, sf)
+    return model.transform(data).select("l_orderkey", "l_linenumber", "prediction")
+
+
+def _embedding_frame(spark, sf):
+    from pyspark.ml.functions import array_to_vector
+    emb = I.table(spark, sf, "embeddings")
+    return emb.select(F.col("vec_id").cast("string").alias("key"),
+                      F.col("label").cast("double").alias("label"),
+                      array_to_vector(F.col("embedding")).alias("features"))
+
+
+_EMB_CLASSES = [float(i) for i in range(10)]
+
+
+def _report(spark, frame, kind, **params):
+    from flowml.operators.models import train
+    train_df, test_df = sampling.hash_split(frame, "key", (0.7, 0.3), SEED)
+    model = train(kind, train_df, label="label", n_classes=len(_EMB_CLASSES), **params)
+    pred = model.transform(test_df)
+    rep = metrics.evaluation_report(pred, _EMB_CLASSES, "label", "prediction")
+    return rep.select(*[r6(F.col(c)).alias(c) if c not in ("label", "support") else F.col(c)
+                        for c in rep.columns])
+
+
+@query("tree_report")
+def q_tree_report(spark, sf):
+    return _report(spark, _embedding_frame(spark, sf), "tree")
+
+
+@query("mlp_report")
+def q_mlp_report(spark, sf):
+    return _report(spark, _embedding_frame(spark, sf), "mlp")
+
+
+@query("bayes_report")
+def q_bayes_report(spark, sf):
+    from flowml.operators.models import train
+    data, model = _bayes_model(spark, sf)
+    pred = model.transform(data)
+    rep = metrics.evaluation_report(pred, [0.0, 1.0, 2.0], "label", "prediction")
+    return rep
+
+
+def balanced_embeddings(spark, sf):
+    """Original embeddings plus synthetic rows (every class at the majority size)."""
+    from pyspark.ml.functions import array_to_vector
+    from flowml.operators.smote import synthesize
+    emb = I.table(spark, sf, "embeddings")
+    syn = synthesize(emb, "label", "embedding", "vec_id", k=5, seed=SEED)
+    orig = emb.select(F.col("vec_id").cast("string").alias("key"),
+                      F.col("label").cast("double").alias("label"),
+                      F.col("embedding").cast("array<double>").alias("x"))
+    new = syn.select(F.concat_ws(":", F.col("base_key").cast("string"), F.col("draw").cast("string"))
+                     .alias("key"), F.col("label").cast("double").alias("label"), F.col("_x").alias("x"))
+    both = orig.unionByName(new)
+    return both.select("key", "label", array_to_vector("x").alias("features"))
+
+
+@query("forest_report")
+def q_forest_report(spark, sf):
+    return _report(spark, balanced_embeddings(spark, sf), "forest")
+
+
+def flagship(spark, sf):
+    """Balance -> split -> forest -> per-class rates (the workflow's intended order)."""
+    return q_forest_report(spark, sf)
+
+
+def _flow_model(spark, sf, path: str | None = None):
+    from flowml.operators.models import fit_flow_pipeline, load_pipeline, save_pipeline
+    flows = I.flows_from_events(I.table(spark, sf, "events"))
+    model = fit_flow_pipeline(flows, "zeek", "forest", numTrees=5, maxDepth=10)
+    path = save_pipeline(model, path or scratch_path(spark, "flow-model"))
+    return flows, load_pipeline(path)
+
+
+@query("save_load_score")
+def q_save_load_score(spark, sf):
+    flows, loaded = _flow_model(spark, sf)
+    return loaded.transform(flows).select("event_id", "attack_cat_index", "prediction")
+
+
+# ----------------------------------------------------------------------------- I
+@query("score_stream")
+def q_score_stream(spark, sf):
+    from flowml.streaming.scoring import score_messages, start_scoring
+    _, model = _flow_model(spark, sf)
+    schema = I.table(spark, sf, "events").schema
+    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf))
+    alerts = score_messages(I.conn_messages(events), model, passthrough=["msg_id"])
+    out = scratch_path(spark, "alerts")
+    q = start_scoring(alerts, "parquet", checkpoint=out + "-ckpt", path=out,
+                      trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(out)

@@ -209,3 +209,57 @@ SELECT msg_id,
        NOT bad AS parse_ok
 FROM (SELECT event_id AS msg_id, *, (event_id % 13 = 0 OR event_id % 29 = 0) AS bad FROM events)
 """
+
+
+def flows_from_events(events: DataFrame) -> DataFrame:
+    """A zeek-profile flow table from events (same field rule as :func:`conn_messages`),
+    with an attack label that depends on the duration, null = normal traffic."""
+    eid = F.col("event_id")
+    dur = F.col("value")
+    attack = (F.when(dur < 5, F.lit("Generic")).when(dur < 20, F.lit("Exploits"))
+              .when(dur < 60, F.lit("Fuzzers")))
+    return events.select(
+        eid,
+        F.col("user_id").cast("int").alias("sport"),
+        props_k().alias("dsport"),
+        F.col("event_type").alias("proto"),
+        dur.alias("dur"),
+        eid.cast("int").alias("sbytes"),
+        (eid % 1000).cast("int").alias("dbytes"),
+        F.when(eid % 3 == 0, F.lit("http")).when(eid % 3 == 1, F.lit("dns")).alias("service"),
+        (F.col("user_id") % 7 + 1).cast("int").alias("Spkts"),
+        (props_k() % 5).cast("int").alias("Dpkts"),
+        attack.alias("attack_cat"),
+    )
+
+
+# Naive Bayes input: non-negative lineitem features, return flag as class.
+BAYES_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+def bayes_frame(lineitem: DataFrame) -> DataFrame:
+    expr = None
+    for i, name in enumerate(RETURNFLAG_CLASSES):
+        cond = F.col("l_returnflag") == F.lit(name)
+        expr = F.when(cond, F.lit(float(i))) if expr is None else expr.when(cond, F.lit(float(i)))
+    return lineitem.select("l_orderkey", "l_linenumber", expr.alias("label"),
+                           *[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(BAYES_FEATURES)])
+
+
+def _bayes_sql() -> str:
+    whens = " ".join(f"WHEN '{n}' THEN {float(i)}" for i, n in enumerate(RETURNFLAG_CLASSES))
+    feats = ", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(BAYES_FEATURES))
+    d = len(BAYES_FEATURES)
+    sums = ", ".join(f"sum(f{i}) AS s{i}" for i in range(d))
+    total = " + ".join(f"s{i}" for i in range(d))
+    thetas = ", ".join(f"ln(s{i} + 1) - ln({total} + {d}) AS t{i}" for i in range(d))
+    return f"""
+WITH t AS (SELECT l_orderkey, l_linenumber, CASE l_returnflag {whens} END AS label, {feats}
+           FROM lineitem),
+agg AS (SELECT label, count(*) AS n, {sums} FROM t GROUP BY label),
+tot AS (SELECT sum(n) AS big_n, count(*) AS c FROM agg),
+par AS (SELECT label, ln(n + 1) - ln(big_n + c) AS pi, {thetas} FROM agg, tot)
+"""
+
+
+BAYES_SQL = _bayes_sql()

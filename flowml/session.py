@@ -27,6 +27,9 @@ def get_session(master: str | None = None, app: str = "flowml",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if (master or "local").startswith("local"):
+        # Local mode runs every task inside the driver JVM.
+        settings["spark.driver.memory"] = os.environ.get("FLOWML_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf)
