@@ -97,7 +97,7 @@ def per_class_rates(df: DataFrame, classes: Sequence[float] | None = None,
         spark = df.sparkSession
         wanted = spark.createDataFrame([(float(c),) for c in classes], "cls double")
         # Both sides are bounded by the class count.
-        stats = (F.broadcast(wanted).join(stats, "cls", "left")
+        stats = (wanted.join(F.broadcast(stats), "cls", "left")
                  .withColumn("total", F.max("total").over(Window.partitionBy())))
         stats = stats.na.fill(0, subset=["actual", "predicted", "tp"])
     tp, actual, predicted, total = (F.col("tp"), F.col("actual"), F.col("predicted"),

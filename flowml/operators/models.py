@@ -21,6 +21,49 @@ from flowml.operators.features import assembler, encoder
 from flowml.schema import MLP_HIDDEN, PROFILES, TREE_PARAMS, Profile
 
 KINDS = ("tree", "forest", "bayes", "mlp")
+# Tree learners merge per-node statistics from every input partition at every
+# level, so tiny partitions cost more than they parallelise. Aim for this many rows
+# per partition (never fewer partitions than half the cores).
+ROWS_PER_PARTITION = 100_000
+
+
+def _training_set(df: DataFrame) -> DataFrame:
+    """Persist the training set, coalescing over-split small inputs (no shuffle)."""
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = data.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = max(max(1, cores // 2), -(-n // ROWS_PER_PARTITION))
+    if data.rdd.getNumPartitions() > target:
+        small = data.coalesce(target).persist(StorageLevel.MEMORY_AND_DISK)
+        small.count()
+        data.unpersist()
+        data = small
+    return data
+
+
+def _memory_mb(text: str | None, default_mb: int = 1024) -> int:
+    if not text:
+        return default_mb
+    t = text.strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    if t[-1] == "b":
+        t = t[:-1]
+    if t and t[-1] in units:
+        return int(float(t[:-1]) * units[t[-1]])
+    return int(int(t) / (1024 * 1024))
+
+
+def tree_memory_budget(spark) -> int:
+    """Per-task histogram budget (``maxMemoryInMB``) for tree learners.
+
+    A quarter of an executor's heap shared by its concurrent tasks, clamped to
+    [16, 256] MB (256 is Spark's default). Local mode runs tasks in the driver.
+    """
+    conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local")
+    heap = _memory_mb(conf.get("spark.driver.memory" if local else "spark.executor.memory", None))
+    slots = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    return int(max(16, min(256, heap * 0.25 / max(1, slots))))
 
 
 def classifier(kind: str, label: str = "attack_cat_index", features: str = "features",
@@ -53,10 +96,12 @@ def train(kind: str, df: DataFrame, label: str = "attack_cat_index", features: s
     n_features = None
     if kind == "mlp":
         n_features = len(df.select(features).first()[0])
+    if kind in ("tree", "forest") and "maxMemoryInMB" not in params:
+        params["maxMemoryInMB"] = tree_memory_budget(df.sparkSession)
     est = classifier(kind, label, features, n_features=n_features, n_classes=n_classes, **params)
     data = df.select(label, features)
     if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        data = _training_set(data)
     try:
         return est.fit(data)
     finally:
@@ -85,8 +130,10 @@ def fit_flow_pipeline(df: DataFrame, profile: str | Profile = "zeek", kind: str
             n_classes = df.select(label).distinct().count() + 1   # + the "keep" bucket
         else:
             n_classes = int(df.agg({label: "max"}).first()[0]) + 1
+    if kind in ("tree", "forest") and "maxMemoryInMB" not in params:
+        params["maxMemoryInMB"] = tree_memory_budget(df.sparkSession)
     pipe = flow_pipeline(profile, kind, label, encode, n_classes=n_classes, **params)
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    data = _training_set(df)
     try:
         return pipe.fit(data)
     finally:

@@ -463,7 +463,10 @@ _EMB_CLASSES = [float(i) for i in range(10)]
 
 
 def _report(spark, frame, kind, **params):
+    from pyspark import StorageLevel
     from flowml.operators.models import train
+    # Both parts are filters over one materialised input (no recomputation of it).
+    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     train_df, test_df = sampling.hash_split(frame, "key", (0.7, 0.3), SEED)
     model = train(kind, train_df, label="label", n_classes=len(_EMB_CLASSES), **params)
     pred = model.transform(test_df)
