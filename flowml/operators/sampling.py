@@ -85,6 +85,10 @@ def rank_below(df: DataFrame, group: str, quotas: DataFrame, key: str, seed,
            .agg(F.min(F.struct("_b", "_cum", "_cnt", "_quota")).alias("s"))
            .select(group, F.col("s._b").alias("_bstar"),
                    (F.col("s._quota") - (F.col("s._cum") - F.col("s._cnt"))).alias("_need")))
+    # The cut table has at most one row per group: compute it once and ship it to
+    # both branches below as a broadcast instead of re-running the histogram.
+    spark = df.sparkSession
+    cut = spark.createDataFrame(cut.collect(), cut.schema)
     joined = h.join(F.broadcast(cut), group, "left")
     inside = joined.filter(F.col("_bstar").isNull() | (F.col("_b") < F.col("_bstar")))
     edge_w = Window.partitionBy(group).orderBy("_u", key)
