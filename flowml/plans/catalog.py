@@ -547,3 +547,27 @@ def q_score_stream(spark, sf):
                       trigger={"availableNow": True})
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+# ----------------------------------------------------------------------------- workflow jobs
+def _balanced_flows_path(spark, sf):
+    from flowml.plans.workflow import run_balance_job
+    raw_dir = scratch_path(spark, "raw-flows")
+    I.raw_flow_lines(I.table(spark, sf, "events")).write.mode("overwrite").text(raw_dir)
+    return run_balance_job(spark, raw_dir, scratch_path(spark, "balanced"),
+                           encoders_path=scratch_path(spark, "encoders"))
+
+
+@query("balance_job", I.BALANCED_HISTOGRAM_SQL)
+def q_balance_job(spark, sf):
+    enc = read_encoded(spark, _balanced_flows_path(spark, sf))
+    return metrics.class_histogram(enc, "attack_cat_index")
+
+
+@query("train_job")
+def q_train_job(spark, sf):
+    from flowml.plans.workflow import run_train_job
+    report, _ = run_train_job(spark, _balanced_flows_path(spark, sf), "tree",
+                              classes=[float(i) for i in range(5)])
+    return report.select(*[r6(F.col(c)).alias(c) if c not in ("label", "support") else F.col(c)
+                           for c in report.columns])

@@ -263,3 +263,55 @@ par AS (SELECT label, ln(n + 1) - ln(big_n + c) AS pi, {thetas} FROM agg, tot)
 
 
 BAYES_SQL = _bayes_sql()
+
+
+def _dirty_attack():
+    v = F.col("value")
+    return (F.when(v < 5, F.lit("Generic")).when(v < 20, F.lit(" Fuzzers "))
+            .when(v < 40, F.lit("Backdoor")).when(v < 60, F.lit(" Reconnaissance "))
+            .otherwise(F.lit("")))
+
+
+def raw_flow_lines(events: DataFrame) -> DataFrame:
+    """Headerless 49-column raw flow lines (the workflow's input layout) from events,
+    with dirty attack labels, empty label = normal traffic, and some hex ports
+    (malformed, to be rejected)."""
+    from flowml.schema import RAW_FLOW_DDL, ddl_to_struct
+    eid = F.col("event_id")
+    sport = F.when(eid % 101 == 0, F.concat(F.lit("0x"), F.hex(F.col("user_id")))) \
+        .otherwise(F.col("user_id").cast("string"))
+    known = {
+        "srcip": F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")),
+        "sport": sport,
+        "dstip": F.lit("192.168.3.3"),
+        "dsport": props_k().cast("string"),
+        "proto": F.col("event_type"),
+        "state": F.lit("FIN"),
+        "dur": F.col("value").cast("string"),
+        "sbytes": eid.cast("string"),
+        "dbytes": (eid % 1000).cast("string"),
+        "service": F.when(eid % 3 == 0, F.lit("http")).when(eid % 3 == 1, F.lit("dns"))
+                    .otherwise(F.lit("-")),
+        "Spkts": (F.col("user_id") % 7 + 1).cast("string"),
+        "Dpkts": (props_k() % 5).cast("string"),
+        "attack_cat": _dirty_attack(),
+        "label": F.when(F.col("value") < 60, F.lit("1")).otherwise(F.lit("0")),
+    }
+    toks = []
+    for f in ddl_to_struct(RAW_FLOW_DDL).fields:
+        default = "0" if f.dataType.simpleString() == "int" else "0.0"
+        toks.append(known.get(f.name, F.lit(default)))
+    return events.select(F.concat_ws(",", *toks).alias("value"))
+
+
+BALANCED_HISTOGRAM_SQL = """
+WITH f AS (SELECT CASE WHEN value < 5 THEN 'Generic' WHEN value < 20 THEN ' Fuzzers'
+                       WHEN value < 40 THEN 'Backdoors' WHEN value < 60 THEN 'Reconnaissance' END AS v
+           FROM events WHERE event_id % 101 <> 0),
+c AS (SELECT v, count(*) AS n FROM f GROUP BY v),
+idx AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS i FROM c WHERE v IS NOT NULL)
+SELECT CAST(i AS DOUBLE) AS attack_cat_index, (SELECT max(n) FROM c) AS n FROM idx
+UNION ALL
+SELECT CAST((SELECT count(*) FROM idx) AS DOUBLE) AS attack_cat_index, (SELECT max(n) FROM c) AS n
+FROM c WHERE v IS NULL
+"""
