@@ -347,8 +347,10 @@ def q_union_flows(spark, sf):
 
 
 # ----------------------------------------------------------------------------- G4
-_SMOTE_SQL = f"""
-WITH pts AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+def _smote_sql(points: str) -> str:
+    """Brute-force oracle of the oversampling rule; ``points`` yields (label, vec_id, x)."""
+    return f"""
+WITH pts AS ({points}),
 sz AS (SELECT label, count(*) AS n FROM pts GROUP BY label),
 mx AS (SELECT max(n) AS m FROM sz),
 need AS (SELECT label, n, (m - n) // n AS per_row, (m - n) % n AS extra, least(5, n - 1) AS k
@@ -376,6 +378,9 @@ syn AS (SELECT dr.label, dr.vec_id AS base_key, dr.draw, nn.nb AS neighbour_key,
 """
 
 
+_SMOTE_SQL = _smote_sql("SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings")
+
+
 def _smote_embeddings(spark, sf):
     from flowml.operators.smote import synthesize
     emb = I.table(spark, sf, "embeddings")
@@ -571,3 +576,37 @@ def q_train_job(spark, sf):
                               classes=[float(i) for i in range(5)])
     return report.select(*[r6(F.col(c)).alias(c) if c not in ("label", "support") else F.col(c)
                            for c in report.columns])
+
+
+# Flow features of the oversampling step: ints come back truncated.
+_FLOW_FEATS = ["sport", "dsport", "proto_index", "dur", "sbytes", "dbytes", "service_index",
+               "Spkts", "Dpkts"]
+_FLOW_INTS = ["sport", "dsport", "sbytes", "dbytes", "Spkts", "Dpkts"]
+_FLOW_POINTS_SQL = f"""
+SELECT {I._sql_event_class()} AS label, event_id AS vec_id,
+       [CAST(user_id AS DOUBLE), CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE),
+        {I._sql_event_class()}, value, CAST(event_id AS DOUBLE), CAST(event_id % 1000 AS DOUBLE),
+        CAST(event_id % 3 AS DOUBLE), CAST(user_id % 7 + 1 AS DOUBLE),
+        CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 AS DOUBLE)] AS x
+FROM events"""
+
+
+def _flow_out_sql(src: str, synthetic: str) -> str:
+    cols = []
+    for i, c in enumerate(_FLOW_FEATS, start=1):
+        v = f"x[{i}]"
+        cols.append(f"CAST(trunc({v}) AS INTEGER) AS {c}" if c in _FLOW_INTS else f"round({v}, 6) AS {c}")
+    return f"SELECT {', '.join(cols)}, label, {synthetic} AS synthetic FROM {src}"
+
+
+@query("smote_flows", _smote_sql(_FLOW_POINTS_SQL) + _flow_out_sql("pts", "false")
+       + " UNION ALL " + _flow_out_sql("syn", "true"))
+def q_smote_flows(spark, sf):
+    from flowml.operators.smote import smote
+    fl = I.flows_from_events(I.table(spark, sf, "events"))
+    fl = fl.select("event_id", I.event_class("proto").alias("label"), "sport", "dsport",
+                   I.event_class("proto").alias("proto_index"), "dur", "sbytes", "dbytes",
+                   (F.col("event_id") % 3).cast("double").alias("service_index"), "Spkts", "Dpkts")
+    out = smote(fl, "label", _FLOW_FEATS, "event_id", k=5, seed=SEED, int_cols=_FLOW_INTS)
+    return out.select(*[r6(F.col(c)).alias(c) if c not in _FLOW_INTS else F.col(c)
+                        for c in _FLOW_FEATS], "label", "synthetic")
