@@ -544,8 +544,9 @@ def q_score_stream(spark, sf):
     from flowml.streaming.scoring import score_messages, start_scoring
     _, model = _flow_model(spark, sf)
     schema = I.table(spark, sf, "events").schema
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf))
+    from flowml.sources.stream import message_stream
+    events = message_stream(spark, "parquet", path=sf, schema=schema,
+                            pathGlobFilter="events.parquet", maxFilesPerTrigger="1")
     alerts = score_messages(I.conn_messages(events), model, passthrough=["msg_id"])
     out = scratch_path(spark, "alerts")
     q = start_scoring(alerts, "parquet", checkpoint=out + "-ckpt", path=out,

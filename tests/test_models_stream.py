@@ -70,3 +70,19 @@ def test_stream_equals_batch(spark):
     # bad messages are kept and zero-filled, strings filled
     bad = batch.filter(F.col("msg_id") % 13 == 0).first()
     assert bad.sport == 0 and bad.srcip == "No ataque"
+
+
+def test_envelope_stream_batch_form(spark):
+    from flowml.streaming.scoring import envelope_stream
+    msgs = spark.createDataFrame([('{"conn": {"uid": "C1"}, "version": "1"}',), ("notjson",)],
+                                 "value string")
+    env = envelope_stream(msgs)
+    rows = env.collect()
+    assert [r.version for r in rows] == [1, 1] and rows[0].type == "IDS"
+    assert rows[0].data.conn.uid == "C1" and rows[1].data.conn is None
+
+
+def test_schema_string(spark):
+    from flowml.sinks import schema_string
+    s = schema_string(spark.createDataFrame([(1, "a")], "x int, y string"))
+    assert "x: integer" in s and "y: string" in s
