@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, app: str = "flowml",
                 shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """Build (or reuse) a session with the settings the library is tuned for.
 
-    On a cluster ``master`` is left to spark-submit; locally it defaults to all cores.
+    A master is set only when the caller passes one: otherwise the one given to
+    spark-submit (or in ``spark-defaults``) holds, and Spark's own default is local.
+    Driver memory is set for an explicit local master only, where tasks run inside
+    the driver JVM.
     """
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or "local[*]")
     settings = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -27,9 +30,10 @@ def get_session(master: str | None = None, app: str = "flowml",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
-    if (master or "local").startswith("local"):
-        # Local mode runs every task inside the driver JVM.
-        settings["spark.driver.memory"] = os.environ.get("FLOWML_DRIVER_MEMORY", "12g")
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            settings["spark.driver.memory"] = os.environ.get("FLOWML_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf)
@@ -40,16 +44,26 @@ def get_session(master: str | None = None, app: str = "flowml",
     return spark
 
 
+def is_single_machine(master: str) -> bool:
+    """True for ``local`` / ``local[n]``: driver and tasks share one disk.
+    ``local-cluster`` runs separate executors and does not count."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we create and register one.
+    Where none is set, a temporary folder is registered on a single-machine master
+    (tests) and refused anywhere else: executors would each write to their own disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not is_single_machine(master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set for master {master!r}: "
+                               "name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="flowml-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
@@ -57,3 +71,28 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/flowml/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage with files that survive a lost executor (a plain cache or a
+    localCheckpoint does not).
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession, *frames_or_paths) -> None:
+    """Delete scratch written by ``materialise`` / ``scratch_path`` once it is not needed.
+    Only paths under this session's own scratch folder are touched."""
+    root = f"{checkpoint_root(spark)}/flowml/"
+    jvm = spark.sparkContext._jvm
+    for item in frames_or_paths:
+        paths = [item] if isinstance(item, str) else {f.rsplit("/", 1)[0] for f in item.inputFiles()}
+        for p in paths:
+            hpath = jvm.org.apache.hadoop.fs.Path(p)
+            plain = hpath.toUri().getPath()
+            if jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") in plain:
+                hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
