@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from flowml.llm import exact_dedup
+from flowml.llm import exact_dedup, mixing, secrets, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op4_secret_scan": secrets.op4_secret_scan,
+    "op5_source_mix": mixing.op5_source_mix,
+    "op10_warc_revisits": warc.op10_warc_revisits,
 }
 
 ORACLE = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op5_source_mix": mixing.SQL,
+    "op10_warc_revisits": warc.SQL,
 }
