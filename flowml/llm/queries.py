@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from flowml.llm import exact_dedup, mixing, secrets, warc
+from flowml.llm import exact_dedup, langid, mixing, packing, quality, secrets, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_quality": quality.op3_quality,
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_source_mix": mixing.op5_source_mix,
+    "op6_language_id": langid.op6_language_id,
+    "op8_best_two_fit": packing.op8_best_two_fit,
     "op10_warc_revisits": warc.op10_warc_revisits,
 }
 
