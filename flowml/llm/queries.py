@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowml.llm import exact_dedup, langid, mixing, packing, quality, secrets, warc
+from flowml.llm import exact_dedup, langid, mixing, packing, quality, secrets, topk, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_source_mix": mixing.op5_source_mix,
     "op6_language_id": langid.op6_language_id,
+    "op7_topk_search": topk.op7_topk_search,
     "op8_best_two_fit": packing.op8_best_two_fit,
     "op10_warc_revisits": warc.op10_warc_revisits,
 }
@@ -17,5 +18,6 @@ QUERIES = {
 ORACLE = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op5_source_mix": mixing.SQL,
+    "op7_topk_search": topk.SQL,
     "op10_warc_revisits": warc.SQL,
 }
