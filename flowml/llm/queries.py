@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowml.llm import exact_dedup, langid, mixing, packing, quality, secrets, topk, warc
+from flowml.llm import exact_dedup, jaccard, langid, mixing, packing, quality, secrets, topk, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_language_id": langid.op6_language_id,
     "op7_topk_search": topk.op7_topk_search,
     "op8_best_two_fit": packing.op8_best_two_fit,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_warc_revisits": warc.op10_warc_revisits,
 }
 
