@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from flowml.llm import exact_dedup, jaccard, langid, mixing, packing, quality, secrets, topk, warc
+from flowml.llm import exact_dedup, jaccard, langid, lm_scoring, mixing, packing, quality, secrets, topk, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_lm_scores": lm_scoring.op2_lm_scores,
     "op3_quality": quality.op3_quality,
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_source_mix": mixing.op5_source_mix,
