@@ -217,7 +217,7 @@ def _sets(data) -> list[np.ndarray]:
 
 def _join_in_tasks(points: DataFrame) -> DataFrame:
     """Edges (u, v) of regions that fit a task: each point to the smallest of its component."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         pdf = pdf.sort_values("id", kind="stable")
         ids = pdf["id"].to_numpy()
         root = join_region(_sets(pdf["data"]))
@@ -236,7 +236,7 @@ def _meet(points: DataFrame, pivots: DataFrame, chunk: int) -> DataFrame:
     spread = pivots.join(chunks, "region").select(
         "region", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "id", "data")
 
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(key, left, right):
         if not len(left) or not len(right):
             return pd.DataFrame({"region": [], "id": [], "pid": [], "d": [], "linked": []})
         space, n = Space(_sets(left["data"]) + _sets(right["data"])), len(left)

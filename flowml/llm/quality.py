@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowml.functions.hashing import hash_u32
-from flowml.llm.common import fold, keep_rows, table
+from flowml.llm.common import fold, table
 from flowml.llm.ngrams import WordTable, document_bag
 
 BITS = 18
@@ -117,7 +117,25 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return train(sample["__text"].tolist(), sample["__label"].tolist())
 
 
-_tables: dict[int, WordTable] = {}
+def _scorer(shared):
+    """A function from texts to scores, with the model and a word table of the task's own."""
+    weights, bias = shared.value
+    words_of = WordTable(weights[:_REPEAT, None], SIZES, BITS, True)
+
+    def scores(texts: list) -> np.ndarray:
+        odds = []
+        for text in texts:
+            words = (text or "").split()
+            if not words:
+                odds.append(bias)
+                continue
+            at = words_of.places(words)
+            again = int((at[1:] == at[:-1]).sum())
+            sums = words_of.rows[at].sum(0, dtype=np.float64)
+            odds.append(bias + (sums[0] + again * weights[_REPEAT]) / (sums[1] + again))
+        return 1 / (1 + np.exp(-np.clip(np.asarray(odds, float), -60, 60)))
+
+    return scores
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -125,31 +143,31 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
-        words_of = WordTable(weights[:_REPEAT, None], SIZES, BITS, True)
+        scores = _scorer(shared)
         for batch in batches:
-            odds = []
-            for text in batch.column(1).to_pylist():
-                words = (text or "").split()
-                if not words:
-                    odds.append(bias)
-                    continue
-                at = words_of.places(words)
-                again = int((at[1:] == at[:-1]).sum())
-                sums = words_of.rows[at].sum(0, dtype=np.float64)
-                odds.append(bias + (sums[0] + again * weights[_REPEAT]) / (sums[1] + again))
-            chance = 1 / (1 + np.exp(-np.clip(np.asarray(odds, float), -60, 60)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chance, pa.float64())], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch.column(1).to_pylist()), pa.float64())],
+                                             names=["id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
         .mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
 
 
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, all columns; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = _scorer(shared)
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column(at).to_pylist()) >= threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents predicted to be of label 0 go."""
-    model = fit(docs, table(spark, sf_dir, "labels"))
-    good = score(docs, model).where(F.col("score") >= THRESHOLD).select("doc_id")
-    return keep_rows(docs, good)
+    return keep_good(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
