@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowml.operators.sampling import literal_table
+
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """E1."""
@@ -52,17 +54,35 @@ def confusion_long(df: DataFrame, label: str = "label", pred: str = "prediction"
 
 
 def confusion_wide(df: DataFrame, classes: Sequence[float], label: str = "label",
-                   pred: str = "prediction", names: Sequence[str] | None = None) -> DataFrame:
+                   pred: str = "prediction", names: Sequence[str] | None = None,
+                   other: str | None = None) -> DataFrame:
     """E5 wide form: one row per actual class, one count column per predicted class.
 
     Classes are given, so no extra job is needed to discover pivot values; the
-    pivot runs on the bounded pair table.
+    pivot runs on the bounded pair table. ``names``: one per class, used on both axes
+    (a label outside ``classes`` keeps its string form). Predictions outside ``classes``
+    are counted in the column ``other``, where one is named; without it they raise.
     """
     cols = names or [f"pred_{int(c)}" for c in classes]
     pairs = pair_counts(df, label, pred)
+    known = F.col("prediction").isin([float(c) for c in classes])
     aggs = [F.sum(F.when(F.col("prediction") == F.lit(float(c)), F.col("n")).otherwise(0))
             .cast("long").alias(n) for c, n in zip(classes, cols)]
-    return pairs.groupBy("label").agg(*aggs)
+    rest = F.sum(F.when(F.coalesce(known, F.lit(False)), 0).otherwise(F.col("n"))).cast("long")
+    if other is not None:
+        wide = pairs.groupBy("label").agg(*aggs, rest.alias(other))
+    else:
+        wide = pairs.groupBy("label").agg(*aggs, rest.alias("_rest"))
+        first = F.coalesce(F.col("_rest") == 0, F.lit(True))
+        checked = F.when(first, F.col(cols[0])).otherwise(
+            F.raise_error(F.lit("prediction outside the listed classes")).cast("long"))
+        wide = wide.withColumn(cols[0], checked).drop("_rest")
+    if names is not None:
+        named = F.col("label").cast("string")
+        for c, n in zip(classes, names):
+            named = F.when(F.col("label") == F.lit(float(c)), F.lit(n)).otherwise(named)
+        wide = wide.withColumn("label", named)
+    return wide
 
 
 def _class_stats(pairs: DataFrame) -> DataFrame:
@@ -92,11 +112,13 @@ def per_class_rates(df: DataFrame, classes: Sequence[float] | None = None,
 
     With ``classes`` given, every listed class gets a row (undefined rates null).
     """
-    stats = _class_stats(pair_counts(df, label, pred))
+    return _rates(_class_stats(pair_counts(df, label, pred)), classes)
+
+
+def _rates(stats: DataFrame, classes: Sequence[float] | None) -> DataFrame:
     if classes is not None:
-        spark = df.sparkSession
-        wanted = spark.createDataFrame([(float(c),) for c in classes], "cls double")
-        # Both sides are bounded by the class count.
+        wanted = literal_table(stats.sparkSession, "cls double", [(float(c),) for c in classes])
+        # Both sides are bounded by the class count; ``total`` already covers all rows.
         stats = (wanted.join(F.broadcast(stats), "cls", "left")
                  .withColumn("total", F.max("total").over(Window.partitionBy())))
         stats = stats.na.fill(0, subset=["actual", "predicted", "tp"])
@@ -121,7 +143,10 @@ def per_class_rates(df: DataFrame, classes: Sequence[float] | None = None,
 
 def overall_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """Accuracy, weighted precision, weighted recall, weighted F1 in one row."""
-    stats = _class_stats(pair_counts(df, label, pred)).filter(F.col("actual") > 0)
+    return _overall(_class_stats(pair_counts(df, label, pred)))
+
+
+def _overall(stats: DataFrame) -> DataFrame:
     tp, actual, predicted, total = (F.col("tp"), F.col("actual"), F.col("predicted"),
                                     F.col("total"))
     precision = F.when(predicted > 0, tp / predicted).otherwise(F.lit(0.0))
@@ -129,7 +154,7 @@ def overall_metrics(df: DataFrame, label: str = "label", pred: str = "prediction
     f1 = F.when(precision + recall > 0, 2 * precision * recall / (precision + recall)) \
         .otherwise(F.lit(0.0))
     w = actual / total
-    return stats.agg(
+    return stats.filter(actual > 0).agg(
         (F.sum(tp) / F.max(total)).alias("accuracy"),
         F.sum(precision * w).alias("weighted_precision"),
         F.sum(recall * w).alias("weighted_recall"),
@@ -139,12 +164,13 @@ def overall_metrics(df: DataFrame, label: str = "label", pred: str = "prediction
 
 def evaluation_report(df: DataFrame, classes: Sequence[float], label: str = "label",
                       pred: str = "prediction") -> DataFrame:
-    """Per-class rates with the overall metrics attached to every row (one job)."""
-    rates = per_class_rates(df, classes, label, pred)
-    w = Window.partitionBy()
-    tot = F.sum("support").over(w)
-    prec_w = F.sum(F.coalesce(F.col("precision"), F.lit(0.0)) * F.col("support")).over(w) / tot
-    tp_total = F.sum(F.coalesce(F.col("tpr"), F.lit(0.0)) * F.col("support")).over(w)
-    f1_w = F.sum(F.coalesce(F.col("f1"), F.lit(0.0)) * F.col("support")).over(w) / tot
-    return rates.select("*", (tp_total / tot).alias("accuracy"),
-                        prec_w.alias("weighted_precision"), f1_w.alias("weighted_f1"))
+    """Per-class rates of the listed classes with the overall metrics on every row.
+
+    The overall metrics cover every row of ``df``, also those whose label is not listed:
+    they are :func:`overall_metrics`, computed from the same (label, prediction) counts.
+    """
+    stats = _class_stats(pair_counts(df, label, pred))
+    total = _overall(stats).withColumnRenamed("f1", "weighted_f1")
+    # One row: attached by a broadcast join on a constant.
+    return _rates(stats, classes).withColumn("_one", F.lit(1)).join(
+        F.broadcast(total.withColumn("_one", F.lit(1))), "_one", "left").drop("_one")

@@ -9,36 +9,33 @@ it once per level.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, MultilayerPerceptronClassifier,
                                        NaiveBayes, RandomForestClassifier)
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from flowml.operators.features import assembler, encoder
 from flowml.schema import MLP_HIDDEN, PROFILES, TREE_PARAMS, Profile
 
 KINDS = ("tree", "forest", "bayes", "mlp")
-# Tree learners merge per-node statistics from every input partition at every
-# level, so tiny partitions cost more than they parallelise. Aim for this many rows
-# per partition (never fewer partitions than half the cores).
-ROWS_PER_PARTITION = 100_000
-
-
-def _training_set(df: DataFrame) -> DataFrame:
-    """Persist the training set, coalescing over-split small inputs (no shuffle)."""
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = data.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    target = max(max(1, cores // 2), -(-n // ROWS_PER_PARTITION))
-    if data.rdd.getNumPartitions() > target:
-        small = data.coalesce(target).persist(StorageLevel.MEMORY_AND_DISK)
-        small.count()
-        data.unpersist()
-        data = small
-    return data
+
+
+def _training_set(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Persist the training set once, in a layout that depends on the rows alone.
+
+    Rows go to ``partitions`` partitions (default: the session's shuffle partitions) by a
+    hash of their columns and are sorted inside, so neither the core count nor the order in
+    which the input was read changes the fitted model.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.xxhash64(*[c if not isinstance(df.schema[c].dataType, VectorUDT) else vector_to_array(c)
+                         for c in df.columns])
+    return (df.withColumn("_place", place).repartition(n, "_place").sortWithinPartitions("_place")
+            .drop("_place").persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def _memory_mb(text: str | None, default_mb: int = 1024) -> int:
@@ -56,14 +53,14 @@ def _memory_mb(text: str | None, default_mb: int = 1024) -> int:
 def tree_memory_budget(spark) -> int:
     """Per-task histogram budget (``maxMemoryInMB``) for tree learners.
 
-    A quarter of an executor's heap shared by its concurrent tasks, clamped to
-    [16, 256] MB (256 is Spark's default). Local mode runs tasks in the driver.
+    A quarter of an executor's heap shared by its concurrent tasks, at least 16 MB. Local
+    mode runs tasks in the driver. The budget sets how many nodes a pass handles, not the model.
     """
     conf = spark.sparkContext.getConf()
     local = spark.sparkContext.master.startswith("local")
     heap = _memory_mb(conf.get("spark.driver.memory" if local else "spark.executor.memory", None))
     slots = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
-    return int(max(16, min(256, heap * 0.25 / max(1, slots))))
+    return int(max(16, heap * 0.25 / max(1, slots)))
 
 
 def classifier(kind: str, label: str = "attack_cat_index", features: str = "features",
@@ -91,8 +88,8 @@ def classifier(kind: str, label: str = "attack_cat_index", features: str = "feat
 
 
 def train(kind: str, df: DataFrame, label: str = "attack_cat_index", features: str = "features",
-          n_classes: int | None = None, persist: bool = True, **params):
-    """H1-H4: fit a classifier on an assembled frame."""
+          n_classes: int | None = None, persist: bool = True, partitions: int | None = None, **params):
+    """H1-H4: fit a classifier on an assembled frame. ``partitions``: see ``_training_set``."""
     n_features = None
     if kind == "mlp":
         n_features = len(df.select(features).first()[0])
@@ -101,7 +98,7 @@ def train(kind: str, df: DataFrame, label: str = "attack_cat_index", features: s
     est = classifier(kind, label, features, n_features=n_features, n_classes=n_classes, **params)
     data = df.select(label, features)
     if persist:
-        data = _training_set(data)
+        data = _training_set(data, partitions)
     try:
         return est.fit(data)
     finally:
@@ -127,13 +124,16 @@ def fit_flow_pipeline(df: DataFrame, profile: str | Profile = "zeek", kind: str
     n_classes = None
     if kind == "mlp":
         if encode:
-            n_classes = df.select(label).distinct().count() + 1   # + the "keep" bucket
+            # Null is not a class; the encoder adds one bucket for values it does not know.
+            n_classes = df.select(label).where(F.col(label).isNotNull()).distinct().count() + 1
         else:
             n_classes = int(df.agg({label: "max"}).first()[0]) + 1
     if kind in ("tree", "forest") and "maxMemoryInMB" not in params:
         params["maxMemoryInMB"] = tree_memory_budget(df.sparkSession)
     pipe = flow_pipeline(profile, kind, label, encode, n_classes=n_classes, **params)
-    data = _training_set(df)
+    prof = PROFILES[profile] if isinstance(profile, str) else profile
+    needed = set(prof.strings) | set(prof.vector) | {label}
+    data = _training_set(df.select(*[c for c in df.columns if c in needed]))
     try:
         return pipe.fit(data)
     finally:
@@ -161,7 +161,3 @@ def bayes_parameters(model) -> tuple[list[float], list[list[float]]]:
     pi = model.pi.toArray().tolist()
     theta = model.theta.toArray().tolist()
     return pi, theta
-
-
-def feature_width(cols: Sequence[str]) -> int:
-    return len(list(cols))
