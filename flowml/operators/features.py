@@ -64,14 +64,21 @@ def assembler(cols: Sequence[str], out: str = "features", on_null: str = "error"
 
 
 def assemble(df: DataFrame, profile: str | Profile | Sequence[str] = "zeek", out: str = "features",
-             on_null: str = "error") -> DataFrame:
-    """numeric and encoded columns -> one ML vector column."""
+             on_null: str = "error", categorical: bool = True) -> DataFrame:
+    """numeric and encoded columns -> one ML vector column.
+
+    ``categorical``: encoded columns keep their nominal attributes, so tree learners split
+    them by sets of categories; ``False`` makes them plain numbers, as they are in a table
+    read back from CSV.
+    """
     if isinstance(profile, str):
         cols = list(PROFILES[profile].vector)
     elif isinstance(profile, Profile):
         cols = list(profile.vector)
     else:
         cols = list(profile)
+    if not categorical:
+        df = df.withColumns({c: F.col(c).alias(c, metadata={}) for c in cols})
     return assembler(cols, out, on_null).transform(df)
 
 

@@ -18,7 +18,7 @@ from flowml.functions.hashing import sql_hash_u32, sql_hash_uniform
 from flowml.functions.messages import conn_to_flow, wrap_message
 from flowml.operators import clean, features, metrics, sampling
 from flowml.plans import inputs as I
-from flowml.session import scratch_path
+from flowml.session import materialise, scratch_path
 from flowml.sinks import preview, write_encoded
 from flowml.sources.flows import parse_csv_strict, read_encoded
 
@@ -88,14 +88,63 @@ def q_preview(spark, sf):
 
 
 # ----------------------------------------------------------------------------- C
-@query("apply_profile",
+@query("drop_columns",
        "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus FROM lineitem")
-def q_apply_profile(spark, sf):
+def q_drop_columns(spark, sf):
     drop = ["l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
             "no_such_column"]
     return clean.drop_columns(I.table(spark, sf, "lineitem"), drop)
 
 
+_K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+_RAW_OK = "event_id % 101 <> 0"      # the others have a hex port: malformed
+_RAW_SERVICE = "CASE event_id % 3 WHEN 0 THEN 'http' WHEN 1 THEN 'dns' ELSE '-' END"
+_RAW_STATE = "CASE WHEN event_id % 4 = 0 THEN 'CON' ELSE 'FIN' END"
+_RAW_ATTACK = ("CASE WHEN value < 5 THEN 'Generic' WHEN value < 20 THEN ' Fuzzers' "
+               "WHEN value < 40 THEN 'Backdoors' WHEN value < 60 THEN 'Reconnaissance' END")
+
+
+@query("apply_profile", f"""
+SELECT CAST(user_id AS INTEGER) AS sport, {_K} AS dsport, event_type AS proto,
+       {_RAW_STATE} AS state, value AS dur, CAST(event_id AS INTEGER) AS sbytes,
+       CAST(event_id % 1000 AS INTEGER) AS dbytes, CAST(event_id % 64 AS INTEGER) AS sttl,
+       0 AS dttl, CAST(event_id % 5 AS INTEGER) AS sloss, 0 AS dloss, {_RAW_SERVICE} AS service,
+       value * 2 AS "Sload", 0.0::DOUBLE AS "Dload", CAST(user_id % 7 + 1 AS INTEGER) AS "Spkts",
+       CAST({_K} % 5 AS INTEGER) AS "Dpkts", {_RAW_ATTACK} AS attack_cat,
+       CASE WHEN value < 60 THEN 1 ELSE 0 END AS label
+FROM events WHERE {_RAW_OK}""")
+def q_apply_profile(spark, sf):
+    return clean.apply_profile(_raw_flows(spark, sf), "argus")
+
+
+def _raw_flows(spark, sf):
+    from flowml.schema import RAW_FLOW_DDL
+    raw, _ = parse_csv_strict(I.raw_flow_lines(I.table(spark, sf, "events")), RAW_FLOW_DDL)
+    return clean.canonicalise(raw, "attack_cat")
+
+
+def _index_sql(name: str, expr: str, where: str) -> str:
+    """Code table of an encoder: (v, i) by falling count, equal counts by value."""
+    return (f"{name} AS (SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS i FROM "
+            f"(SELECT {expr} AS v, count(*) AS n FROM events WHERE {where} GROUP BY 1) WHERE v IS NOT NULL)")
+
+
+@query("argus_features", f"""
+WITH {_index_sql("pr", "event_type", _RAW_OK)}, {_index_sql("st", _RAW_STATE, _RAW_OK)},
+{_index_sql("se", _RAW_SERVICE, _RAW_OK)}
+SELECT CAST(event_id AS INTEGER) AS sbytes,
+  [CAST(user_id AS DOUBLE), {_K}, coalesce(pr.i, (SELECT count(*) FROM pr)), st.i, value, event_id,
+   event_id % 1000, se.i, event_id % 64, 0, event_id % 5, 0, value * 2, 0, user_id % 7 + 1, {_K} % 5] AS features
+FROM events LEFT JOIN pr ON pr.v = event_type LEFT JOIN st ON st.v = {_RAW_STATE}
+LEFT JOIN se ON se.v = {_RAW_SERVICE} WHERE {_RAW_OK}""")
+def q_argus_features(spark, sf):
+    from flowml.schema import PROFILES
+    flows = clean.apply_profile(_raw_flows(spark, sf), "argus")
+    enc = features.encode(flows, features.fit_encoders(flows, list(PROFILES["argus"].strings)))
+    wide = features.assemble(enc, "argus", categorical=False)
+    return features.vector_as_array(wide.select("sbytes", "features"))
+
+
 @query("parse_messages", I.PARSED_MESSAGES_SQL)
 def q_parse_messages(spark, sf):
     msgs = I.conn_messages(I.table(spark, sf, "events"))
@@ -179,6 +228,30 @@ def q_wrap_message(spark, sf):
     return env.select("version", "time", "type", "event", "data.*")
 
 
+@query("envelope_messages", """
+SELECT 1 AS version, 'IDS' AS type, 'Data' AS event, '2024-01-01 00:00:00' AS time,
+       CASE WHEN NOT bad THEN 'C' || event_id END AS uid,
+       CASE WHEN NOT bad THEN CASE WHEN event_id % 19 = 0 THEN 3000000000 ELSE event_id END END AS orig_bytes,
+       CASE WHEN NOT bad AND event_id % 17 <> 0 THEN CAST(user_id AS INTEGER) END AS orig_p
+FROM (SELECT *, event_id % 13 = 0 OR event_id % 29 = 0 AS bad FROM events)""")
+def q_envelope_messages(spark, sf):
+    """Stream: decode each message, wrap it, serialise it; read back from the written texts."""
+    from flowml.sources.stream import message_stream
+    from flowml.streaming.scoring import relay_messages, start_scoring
+    events = message_stream(spark, "parquet", path=sf, schema=I.table(spark, sf, "events").schema,
+                            pathGlobFilter="events.parquet", maxFilesPerTrigger="1")
+    clock = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    out = scratch_path(spark, "envelopes")
+    start_scoring(relay_messages(I.conn_messages(events), clock=clock), "text", checkpoint=out + "-ckpt",
+                  path=out, trigger={"availableNow": True}).awaitTermination()
+    body = ("version int, time timestamp_ntz, type string, event string, data struct<conn: struct<"
+            "uid: string, orig_bytes: bigint, `id.orig_p`: int>>")
+    got = spark.read.text(out).select(F.from_json("value", body).alias("m"))
+    return got.select("m.version", "m.type", "m.event", F.date_format("m.time", "yyyy-MM-dd HH:mm:ss").alias("time"),
+                      F.col("m.data.conn.uid").alias("uid"), F.col("m.data.conn.orig_bytes").alias("orig_bytes"),
+                      F.col("m.data.conn.`id.orig_p`").alias("orig_p"))
+
+
 # ----------------------------------------------------------------------------- E
 @query("row_count", "SELECT count(*) AS n FROM lineitem")
 def q_row_count(spark, sf):
@@ -245,6 +318,20 @@ def q_confusion_wide(spark, sf):
     return metrics.confusion_wide(I.predictions(I.table(spark, sf, "events")), _CLASSES)
 
 
+_EVENT_NAMES = ", ".join(f"CAST(sum(CASE WHEN prediction = {float(i)} THEN 1 ELSE 0 END) AS BIGINT) AS {n}"
+                         for i, n in enumerate(I.EVENT_CLASSES[:4]))
+
+
+@query("confusion_named", f"""
+SELECT CASE label {" ".join(f"WHEN {float(i)} THEN '{n}'" for i, n in enumerate(I.EVENT_CLASSES[:4]))}
+       ELSE '4.0' END AS label, {_EVENT_NAMES},
+       CAST(sum(CASE WHEN prediction = 4.0 THEN 1 ELSE 0 END) AS BIGINT) AS others
+FROM ({I.PREDICTIONS_SQL}) GROUP BY 1""")
+def q_confusion_named(spark, sf):
+    return metrics.confusion_wide(I.predictions(I.table(spark, sf, "events")), _CLASSES[:4],
+                                  names=I.EVENT_CLASSES[:4], other="others")
+
+
 _STATS_SQL = f"""
 WITH p AS ({I.PREDICTIONS_SQL}),
 tot AS (SELECT count(*) AS total FROM p),
@@ -428,10 +515,10 @@ def q_bayes_params(spark, sf):
     # Bounded: classes x features values produced by the fitted model.
     rows = [(float(c), round(pi[c], 6), *[round(v, 6) for v in theta[c]]) for c in range(len(pi))]
     schema = "label double, pi double, " + ", ".join(f"theta_{i} double" for i in range(_D))
-    return spark.createDataFrame(rows, schema)
+    return sampling.literal_table(spark, schema, rows)
 
 
-def _bayes_predict_sql() -> str:
+def _bayes_predict_sql(keys: str = "l_orderkey, l_linenumber") -> str:
     n = len(I.RETURNFLAG_CLASSES)
     score = []
     for c in range(n):
@@ -445,8 +532,8 @@ def _bayes_predict_sql() -> str:
         conds2 = " AND ".join(f"s{c} > s{o}" for o in range(c))
         cond = " AND ".join(x for x in [conds, conds2] if x)
         whens.append(f"WHEN {cond} THEN {float(c)}")
-    return (I.BAYES_SQL + ", sc AS (SELECT l_orderkey, l_linenumber, " + ", ".join(score)
-            + " FROM t) SELECT l_orderkey, l_linenumber, CASE " + " ".join(whens)
+    return (I.BAYES_SQL + f", sc AS (SELECT {keys}, " + ", ".join(score)
+            + f" FROM t) SELECT {keys}, CASE " + " ".join(whens)
             + f" ELSE {float(n - 1)} END AS prediction FROM sc")
 
 
@@ -468,16 +555,75 @@ _EMB_CLASSES = [float(i) for i in range(10)]
 
 
 def _report(spark, frame, kind, **params):
-    from pyspark import StorageLevel
     from flowml.operators.models import train
     # Both parts are filters over one materialised input (no recomputation of it).
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    frame = materialise(frame, "report-input")
     train_df, test_df = sampling.hash_split(frame, "key", (0.7, 0.3), SEED)
     model = train(kind, train_df, label="label", n_classes=len(_EMB_CLASSES), **params)
     pred = model.transform(test_df)
-    rep = metrics.evaluation_report(pred, _EMB_CLASSES, "label", "prediction")
-    return rep.select(*[r6(F.col(c)).alias(c) if c not in ("label", "support") else F.col(c)
-                        for c in rep.columns])
+    return _rounded(metrics.evaluation_report(pred, _EMB_CLASSES, "label", "prediction"))
+
+
+def _report_sql(pred_sql: str, classes) -> str:
+    """The evaluation report of (label, prediction) rows, as SQL."""
+    values = ", ".join(f"({float(c)})" for c in classes)
+    return f"""
+p AS ({pred_sql}),
+cls AS (SELECT * FROM (VALUES {values}) v(cls) UNION SELECT label FROM p),
+st AS (SELECT cls, (SELECT count(*) FROM p WHERE label = cls) AS actual,
+         (SELECT count(*) FROM p WHERE prediction = cls) AS predicted,
+         (SELECT count(*) FROM p WHERE label = cls AND prediction = cls) AS tp,
+         (SELECT count(*) FROM p) AS total FROM cls),
+r AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS prec,
+        CASE WHEN actual > 0 THEN tp / actual END AS rec FROM st),
+f AS (SELECT *, CASE WHEN actual > 0 THEN CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END END AS f1 FROM r),
+o AS (SELECT sum(tp) / max(total) AS accuracy, sum(prec * actual / total) AS weighted_precision,
+        sum(rec * actual / total) AS weighted_recall, sum(f1 * actual / total) AS weighted_f1 FROM f WHERE actual > 0)
+SELECT cls AS label, CAST(actual AS BIGINT) AS support, round(rec, 6) AS tpr,
+  round(CASE WHEN total - actual > 0 THEN (predicted - tp) / (total - actual) END, 6) AS fpr,
+  round(CASE WHEN actual > 0 THEN prec END, 6) AS precision, round(f1, 6) AS f1,
+  round(accuracy, 6) AS accuracy, round(weighted_precision, 6) AS weighted_precision,
+  round(weighted_recall, 6) AS weighted_recall, round(weighted_f1, 6) AS weighted_f1
+FROM f, o WHERE cls IN ({", ".join(str(float(c)) for c in classes)})"""
+
+
+def _rounded(report):
+    return report.select(*[r6(F.col(c)).alias(c) if c not in ("label", "support") else F.col(c)
+                           for c in report.columns])
+
+
+# A label that is a rule of discrete features: a fully grown tree learns it exactly, so the
+# report of the hold-out part follows from the rule and the split.
+_RULE_CLASSES = [float(i) for i in range(6)]
+_RULE_SQL = ("WITH " + _report_sql(f"""
+SELECT label, label AS prediction FROM (
+  SELECT CAST(l_linenumber % 3 + CASE WHEN l_quantity > 25 THEN 3 ELSE 0 END AS DOUBLE) AS label,
+         {sql_hash_uniform(SEED, "l_orderkey", "l_linenumber")} AS u FROM lineitem) WHERE u >= 0.7""",
+    _RULE_CLASSES).lstrip())
+
+
+def _rule_frame(spark, sf):
+    li = I.table(spark, sf, "lineitem").select(
+        F.concat_ws(":", "l_orderkey", "l_linenumber").alias("key"), "l_linenumber", "l_quantity",
+        (F.col("l_linenumber") % 3 + F.when(F.col("l_quantity") > 25, 3).otherwise(0)).cast("double").alias("label"))
+    return features.assemble(li, ["l_linenumber", "l_quantity"]).select("key", "label", "features")
+
+
+def _rule_report(spark, sf, kind, **params):
+    from flowml.operators.models import score, train
+    train_df, test_df = sampling.hash_split(_rule_frame(spark, sf), "key", (0.7, 0.3), SEED)
+    model = train(kind, train_df, label="label", n_classes=len(_RULE_CLASSES), **params)
+    return _rounded(metrics.evaluation_report(score(test_df, model), _RULE_CLASSES, "label", "prediction"))
+
+
+@query("tree_rule_report", _RULE_SQL)
+def q_tree_rule_report(spark, sf):
+    return _rule_report(spark, sf, "tree")
+
+
+@query("forest_rule_report", _RULE_SQL)
+def q_forest_rule_report(spark, sf):
+    return _rule_report(spark, sf, "forest")
 
 
 @query("tree_report")
@@ -490,13 +636,13 @@ def q_mlp_report(spark, sf):
     return _report(spark, _embedding_frame(spark, sf), "mlp")
 
 
-@query("bayes_report")
+@query("bayes_report", f"WITH bp AS ({_bayes_predict_sql('label')}), "
+       + _report_sql("SELECT * FROM bp", [0, 1, 2]).lstrip())
 def q_bayes_report(spark, sf):
     from flowml.operators.models import train
     data, model = _bayes_model(spark, sf)
     pred = model.transform(data)
-    rep = metrics.evaluation_report(pred, [0.0, 1.0, 2.0], "label", "prediction")
-    return rep
+    return _rounded(metrics.evaluation_report(pred, [0.0, 1.0, 2.0], "label", "prediction"))
 
 
 def balanced_embeddings(spark, sf):
@@ -524,35 +670,69 @@ def flagship(spark, sf):
     return q_forest_report(spark, sf)
 
 
-def _flow_model(spark, sf, path: str | None = None):
-    from flowml.operators.models import fit_flow_pipeline, load_pipeline, save_pipeline
-    flows = I.flows_from_events(I.table(spark, sf, "events"))
-    model = fit_flow_pipeline(flows, "zeek", "forest", numTrees=5, maxDepth=10)
-    path = save_pipeline(model, path or scratch_path(spark, "flow-model"))
-    return flows, load_pipeline(path)
+_FLOW_ATTACK = "CASE WHEN value < 5 THEN 'Generic' WHEN value < 20 THEN 'Exploits' WHEN value < 60 THEN 'Fuzzers' END"
 
 
-@query("save_load_score")
+@query("save_load_score", f"""
+WITH {_index_sql("a", _FLOW_ATTACK, "true")}
+SELECT event_id, coalesce(a.i, (SELECT count(*) FROM a)) AS attack_cat_index, true AS same
+FROM events LEFT JOIN a ON a.v = {_FLOW_ATTACK}""")
 def q_save_load_score(spark, sf):
-    flows, loaded = _flow_model(spark, sf)
-    return loaded.transform(flows).select("event_id", "attack_cat_index", "prediction")
+    """Predictions of a pipeline before saving and after loading, compared row by row."""
+    from flowml.operators.models import fit_flow_pipeline, load_pipeline, save_pipeline, score
+    flows = I.flows_from_events(I.table(spark, sf, "events"))
+    model = fit_flow_pipeline(flows, "zeek", "forest", numTrees=5, maxDepth=10)
+    loaded = load_pipeline(save_pipeline(model, scratch_path(spark, "flow-model")))
+    before = score(flows, model).select("event_id", F.col("prediction").alias("before"))
+    after = score(flows, loaded).select("event_id", "attack_cat_index", "prediction")
+    return after.join(before, "event_id").select(
+        "event_id", "attack_cat_index", (F.col("prediction") == F.col("before")).alias("same"))
 
 
 # ----------------------------------------------------------------------------- I
-@query("score_stream")
+_BAD = "(event_id % 13 = 0 OR event_id % 29 = 0)"
+
+
+@query("score_stream", f"""
+WITH {_index_sql("pr", "event_type", _RAW_OK)}, {_index_sql("se", _RAW_SERVICE, _RAW_OK)}
+SELECT event_id AS msg_id, true AS named,
+  CASE WHEN bad THEN 'No ataque' ELSE '10.0.' || (user_id % 256) || '.1' END AS srcip,
+  CASE WHEN bad OR event_id % 17 = 0 THEN 0 ELSE CAST(user_id AS INTEGER) END AS sport,
+  CASE WHEN bad THEN 'No ataque' ELSE '192.0.2.3' END AS dstip,
+  CASE WHEN bad THEN 0 ELSE {_K} END AS dsport,
+  CASE WHEN bad THEN 'No ataque' ELSE event_type END AS proto,
+  CASE WHEN bad THEN (SELECT count(*) FROM pr) ELSE pr.i END AS proto_index,
+  CASE WHEN bad THEN 0.0 ELSE value END AS dur,
+  CASE WHEN bad THEN 0 WHEN event_id % 19 = 0 THEN 3000000000 ELSE event_id END AS sbytes,
+  CASE WHEN bad THEN 0 ELSE event_id % 1000 END AS dbytes,
+  CASE WHEN bad OR event_id % 3 = 2 THEN (SELECT count(*) FROM se) ELSE se.i END AS service_index,
+  CASE WHEN bad THEN 0 ELSE CAST(user_id % 7 + 1 AS INTEGER) END AS "Spkts",
+  CASE WHEN bad THEN 0 ELSE CAST({_K} % 5 AS INTEGER) END AS "Dpkts", NOT bad AS parse_ok
+FROM (SELECT *, {_BAD} AS bad FROM events) e LEFT JOIN pr ON pr.v = event_type
+LEFT JOIN se ON se.v = {_RAW_SERVICE}""")
 def q_score_stream(spark, sf):
-    from flowml.streaming.scoring import score_messages, start_scoring
-    _, model = _flow_model(spark, sf)
-    schema = I.table(spark, sf, "events").schema
+    """The connected workflow: balance raw flows, train a forest on the balanced table, save
+    encoders and model, load both, score the message stream. ``named``: the prediction is one
+    of the known class names."""
+    from flowml.plans.workflow import load_scoring_model, run_balance_job, run_train_job
+    from flowml.schema import class_map
     from flowml.sources.stream import message_stream
-    events = message_stream(spark, "parquet", path=sf, schema=schema,
+    from flowml.streaming.scoring import score_messages, start_scoring
+    raw_dir = scratch_path(spark, "raw-flows")
+    I.raw_flow_lines(I.table(spark, sf, "events")).write.mode("overwrite").text(raw_dir)
+    encoders, clf = scratch_path(spark, "encoders"), scratch_path(spark, "classifier")
+    table = run_balance_job(spark, raw_dir, scratch_path(spark, "balanced"), encoders_path=encoders, fmt="parquet")
+    run_train_job(spark, table, "forest", model_path=clf, fmt="parquet", numTrees=5, maxDepth=10)
+    model = load_scoring_model(encoders, clf)
+    events = message_stream(spark, "parquet", path=sf, schema=I.table(spark, sf, "events").schema,
                             pathGlobFilter="events.parquet", maxFilesPerTrigger="1")
     alerts = score_messages(I.conn_messages(events), model, passthrough=["msg_id"])
     out = scratch_path(spark, "alerts")
     q = start_scoring(alerts, "parquet", checkpoint=out + "-ckpt", path=out,
                       trigger={"availableNow": True})
     q.awaitTermination()
-    return spark.read.parquet(out)
+    got = spark.read.parquet(out)
+    return got.withColumn("named", F.col("prediction").isin(*class_map().values())).drop("prediction")
 
 
 # ----------------------------------------------------------------------------- workflow jobs
@@ -575,8 +755,7 @@ def q_train_job(spark, sf):
     from flowml.plans.workflow import run_train_job
     report, _ = run_train_job(spark, _balanced_flows_path(spark, sf), "tree",
                               classes=[float(i) for i in range(5)])
-    return report.select(*[r6(F.col(c)).alias(c) if c not in ("label", "support") else F.col(c)
-                           for c in report.columns])
+    return _rounded(report)
 
 
 # Flow features of the oversampling step: ints come back truncated.

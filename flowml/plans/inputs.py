@@ -36,7 +36,8 @@ def props_k():
 
 def csv_lines(events: DataFrame) -> DataFrame:
     """Text lines `event_id,user_id,event_type,value` with deliberate defects:
-    hex int, float-in-int, short row, long row (rejected) and empty tokens (valid nulls)."""
+    hex int, float-in-int, short row, long row (rejected), empty tokens (valid nulls), and
+    blank lines (neither rows nor rejects)."""
     eid = F.col("event_id")
     user = (F.when(eid % 97 == 0, F.concat(F.lit("0x"), F.col("user_id").cast("string")))
             .when(eid % 89 == 0, F.concat(F.col("user_id").cast("string"), F.lit(".0")))
@@ -44,14 +45,16 @@ def csv_lines(events: DataFrame) -> DataFrame:
     etype = F.when(eid % 71 == 0, F.lit("")).otherwise(F.col("event_type"))
     value = F.when(eid % 73 == 0, F.lit("")).otherwise(F.col("value").cast("string"))
     full = F.concat_ws(",", eid.cast("string"), user, etype, value)
-    line = (F.when(eid % 83 == 0, F.concat_ws(",", eid.cast("string"), user, etype))
+    line = (F.when(eid % 61 == 0, F.lit("")).when(eid % 67 == 0, F.lit("   "))
+            .when(eid % 83 == 0, F.concat_ws(",", eid.cast("string"), user, etype))
             .when(eid % 79 == 0, F.concat_ws(",", full, props_k().cast("string")))
             .otherwise(full))
     return events.select(line.alias("value"))
 
 
 CSV_LINES_SQL = """
-SELECT CASE WHEN event_id % 83 = 0 THEN concat_ws(',', CAST(event_id AS VARCHAR), u, et)
+SELECT line FROM (SELECT CASE WHEN event_id % 61 = 0 OR event_id % 67 = 0 THEN ''
+            WHEN event_id % 83 = 0 THEN concat_ws(',', CAST(event_id AS VARCHAR), u, et)
             WHEN event_id % 79 = 0 THEN concat_ws(',', CAST(event_id AS VARCHAR), u, et, v,
                  CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR))
             ELSE concat_ws(',', CAST(event_id AS VARCHAR), u, et, v) END AS line
@@ -61,7 +64,7 @@ FROM (SELECT event_id, props,
              ELSE CAST(user_id AS VARCHAR) END AS u,
         CASE WHEN event_id % 71 = 0 THEN '' ELSE event_type END AS et,
         CASE WHEN event_id % 73 = 0 THEN '' ELSE CAST(value AS VARCHAR) END AS v
-      FROM events)
+      FROM events)) WHERE line <> ''
 """
 
 CSV_DDL = "event_id long, user_id int, event_type string, value double"
@@ -76,7 +79,7 @@ def conn_messages(events: DataFrame) -> DataFrame:
         F.concat(F.lit("C"), eid.cast("string")).alias("uid"),
         F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")).alias("id.orig_h"),
         F.col("user_id").alias("id.orig_p"),
-        F.lit("192.168.3.3").alias("id.resp_h"),
+        F.lit("192.0.2.3").alias("id.resp_h"),
         props_k().alias("id.resp_p"),
         F.col("event_type").alias("proto"),
         F.when(eid % 3 == 0, F.lit("http")).when(eid % 3 == 1, F.lit("dns")).alias("service"),
@@ -196,12 +199,12 @@ PARSED_MESSAGES_SQL = """
 SELECT msg_id,
        CASE WHEN bad THEN NULL ELSE '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.1' END AS srcip,
        CASE WHEN bad OR event_id % 17 = 0 THEN NULL ELSE CAST(user_id AS INTEGER) END AS sport,
-       CASE WHEN bad THEN NULL ELSE '192.168.3.3' END AS dstip,
+       CASE WHEN bad THEN NULL ELSE '192.0.2.3' END AS dstip,
        CASE WHEN bad THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) END AS dsport,
        CASE WHEN bad THEN NULL ELSE event_type END AS proto,
        CASE WHEN bad THEN NULL ELSE value END AS dur,
-       CASE WHEN bad OR event_id % 19 = 0 THEN NULL ELSE CAST(event_id AS INTEGER) END AS sbytes,
-       CASE WHEN bad THEN NULL ELSE CAST(event_id % 1000 AS INTEGER) END AS dbytes,
+       CASE WHEN bad THEN NULL WHEN event_id % 19 = 0 THEN 3000000000 ELSE CAST(event_id AS BIGINT) END AS sbytes,
+       CASE WHEN bad THEN NULL ELSE CAST(event_id % 1000 AS BIGINT) END AS dbytes,
        CASE WHEN bad THEN NULL WHEN event_id % 3 = 0 THEN 'http' WHEN event_id % 3 = 1 THEN 'dns' END AS service,
        CASE WHEN bad THEN NULL ELSE CAST(user_id % 7 + 1 AS INTEGER) END AS Spkts,
        CASE WHEN bad THEN NULL ELSE CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 AS INTEGER) END AS Dpkts,
@@ -283,10 +286,13 @@ def raw_flow_lines(events: DataFrame) -> DataFrame:
     known = {
         "srcip": F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")),
         "sport": sport,
-        "dstip": F.lit("192.168.3.3"),
+        "dstip": F.lit("192.0.2.3"),
         "dsport": props_k().cast("string"),
         "proto": F.col("event_type"),
-        "state": F.lit("FIN"),
+        "state": F.when(eid % 4 == 0, F.lit("CON")).otherwise(F.lit("FIN")),
+        "sttl": (eid % 64).cast("string"),
+        "sloss": (eid % 5).cast("string"),
+        "Sload": (F.col("value") * 2).cast("string"),
         "dur": F.col("value").cast("string"),
         "sbytes": eid.cast("string"),
         "dbytes": (eid % 1000).cast("string"),

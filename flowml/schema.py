@@ -36,7 +36,7 @@ ENCODED_FLOW_DDL = (
 CONN_LOG_DDL = (
     "conn struct<ts: string, uid: string, `id.orig_h`: string, `id.orig_p`: int, "
     "`id.resp_h`: string, `id.resp_p`: int, proto: string, service: string, "
-    "duration: double, orig_bytes: int, resp_bytes: int, conn_state: string, "
+    "duration: double, orig_bytes: bigint, resp_bytes: bigint, conn_state: string, "
     "local_orig: boolean, local_resp: boolean, missed_bytes: string, history: string, "
     "orig_pkts: int, orig_ip_bytes: string, resp_pkts: int, resp_ip_bytes: string, "
     "tunnel_parents: string>, version string, type string, event string"
@@ -45,7 +45,7 @@ CONN_LOG_DDL = (
 # Positional renaming target for the `conn` struct (same arity and order).
 FLOW_FIXED_DDL = (
     "time string, uid string, srcip string, sport int, dstip string, dsport int, "
-    "proto string, service string, dur double, sbytes int, dbytes int, state string, "
+    "proto string, service string, dur double, sbytes bigint, dbytes bigint, state string, "
     "local_orig boolean, local_resp boolean, missed_bytes string, history string, "
     "Spkts int, orig_ip_bytes string, Dpkts int, resp_ip_bytes string, tunnel_parents string"
 )

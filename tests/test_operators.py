@@ -165,12 +165,12 @@ def test_parse_messages_fixtures(spark):
     rows = {r.id: r for r in flat.collect()}
     assert (rows[0].sport, rows[0].sbytes, rows[0].parse_ok) == (5, 3, True)
     assert rows[1].sport is None and rows[1].srcip == "10.0.0.1"
-    assert rows[2].sbytes is None
+    assert rows[2].sbytes == 3000000000
     assert rows[3].sport is None
     assert rows[4].tunnel_parents == '["a"]'
     assert rows[5].parse_ok is False and rows[5].srcip is None
     assert rows[6].parse_ok is False
-    assert clean.fill_numeric(flat, 0).filter("id = 2").first().sbytes == 0
+    assert clean.fill_numeric(flat, 0).filter("id = 1").first().sport == 0
     assert parse_messages(df, on_bad="drop").count() == 5
 
 
