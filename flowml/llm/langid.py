@@ -17,7 +17,6 @@ predicted each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +40,6 @@ SAMPLE_CHARS = 50_000
 FOLDS, HELD_OUT = 4, 2
 #: A lead below this share of the total is flagged as ambiguous.
 AMBIGUOUS = 0.2
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def codewords(n: int, seed: int = 5) -> np.ndarray:
@@ -129,7 +127,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for batch in batches:
             langs, scores, unsure = [], [], []
             for text in batch.column(1).to_pylist():
-                if not m.langs or text is None or not _LETTER.search(text):
+                if not m.langs or text is None or not any(map(str.isalpha, text)):
                     langs.append("und"), scores.append(0.0), unsure.append(False)
                     continue
                 at = words_of.places(text.split())
