@@ -484,6 +484,30 @@ def q_smote(spark, sf):
                       F.transform("_x", lambda v: F.round(v, 6)).alias("x"))
 
 
+def _knn_sql(points: str) -> str:
+    return f"""
+WITH pts AS ({points}),
+d AS (SELECT a.label, a.vec_id, b.vec_id AS nb_key,
+        list_sum(list_transform(a.x, lambda v, i: (v - b.x[i]) * (v - b.x[i]))) AS d2
+      FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY d2, nb_key) AS INTEGER) AS rank FROM d)
+SELECT label, vec_id, rank, nb_key, round(d2, 6) AS d2 FROM r WHERE rank <= 5"""
+
+
+def _knn(spark, points, label_values):
+    """Neighbours with cells far smaller than the classes, so that all passes run."""
+    from flowml.operators.knn import exact_knn
+    got = exact_knn(points, "label", "vec_id", "x", {c: 5 for c in label_values}, SEED, cell_size=64)
+    return got.select("label", "vec_id", F.col("rank").cast("int").alias("rank"), "nb_key", r6(F.col("d2")).alias("d2"))
+
+
+@query("knn_cells", _knn_sql("SELECT CAST(0 AS INTEGER) AS label, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"))
+def q_knn_cells(spark, sf):
+    emb = I.table(spark, sf, "embeddings").select(
+        F.lit(0).alias("label"), "vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    return _knn(spark, emb, [0])
+
+
 @query("smote_histogram", _SMOTE_SQL + """
 SELECT label, count(*) AS n FROM (SELECT label FROM pts UNION ALL SELECT label FROM syn)
 GROUP BY label""")
