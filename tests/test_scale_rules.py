@@ -102,6 +102,30 @@ def test_row_keys_do_not_depend_on_layout(spark):
     assert a == b and len(set(a)) == 100
 
 
+def test_trimmed_labels_and_named_null_class(spark):
+    from flowml.operators import clean
+    from flowml.plans.workflow import balance
+    df = spark.createDataFrame([(" Fuzzers ",), ("Backdoor",), (" x ",), (None,)], "attack_cat string")
+    got = [r[0] for r in clean.canonicalise(df, trim=True).collect()]
+    assert got == ["Fuzzers", "Backdoors", "x", None]
+    rows = [(i, i % 50, ["tcp", "udp"][i % 2], i / 7, i, i, "dns", i % 5, i % 3, ["Worms", None, None][i % 3]) for i in range(60)]
+    flows = spark.createDataFrame(rows, "sport int, dsport int, proto string, dur double, sbytes int, dbytes int, "
+                                        "service string, Spkts int, Dpkts int, attack_cat string")
+    out, encoders = balance(flows, null_label="normal")
+    assert list(encoders.labelsArray[-1]) == ["normal", "Worms"]
+    assert {r.attack_cat_index: r.n for r in metrics.class_histogram(out, "attack_cat_index").collect()} == {0.0: 40, 1.0: 40}
+
+
+def test_training_part_alone_is_balanced(spark, tmp_path):
+    from flowml.plans.workflow import run_train_job
+    rows = [(i, i % 50, 0.0, i / 7, i, i, 0.0, i % 5, i % 3, float(i % 10 == 0)) for i in range(300)]
+    path = str(tmp_path / "encoded")
+    spark.createDataFrame(rows, ENCODED_FLOW_DDL).write.parquet(path)
+    report, _ = run_train_job(spark, path, "tree", fmt="parquet", classes=(0.0, 1.0), balance_train=True)
+    support = {r.label: r.support for r in report.collect()}
+    assert 50 < support[0.0] < 110 and 2 <= support[1.0] < 20
+
+
 def test_numeric_codes_lose_their_categories(spark):
     df = spark.createDataFrame([("a",), ("b",)], "proto string")
     enc = features.encode(df, features.fit_encoders(df, ["proto"]))
