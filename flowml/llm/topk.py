@@ -37,6 +37,8 @@ TOP = 20
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 1_024
 FIRST_DEPTH = 64
+#: Queries that advance together.
+BATCH = 64
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
@@ -52,41 +54,45 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray,
                      k: int = TOP, first: int = FIRST_DEPTH) -> list[tuple[np.ndarray, np.ndarray]]:
     """(ids, scores) of each query's best ``k`` among ``vectors``, by Fagin's threshold algorithm.
 
-    Integers are held as float64; sums stay exact below 2**53.
+    Queries advance in batches: a vector is scored when the first query of the batch meets it
+    in one of its lists, and counts for a query once that query has met it. Integers are held
+    as float64; sums stay exact below 2**53.
     """
     n, dims = vectors.shape
     order = np.argsort(vectors, axis=0, kind="stable")       # ascending list of each dimension
     ranked = np.take_along_axis(vectors, order, axis=0)
-    out = []
-    for q, own in zip(queries, query_ids):
-        live = np.flatnonzero(q)
-        up, down = live[q[live] > 0], live[q[live] < 0]
-        met = np.zeros(n, bool)
-        met_ids, met_scores = np.zeros(0, np.int64), np.zeros(0)
-        depth, read = first, 0
-        while True:
+    up = np.empty((dims, n), np.int32)                       # place of a vector in the ascending list
+    np.put_along_axis(up, np.ascontiguousarray(order.T), np.arange(n, dtype=np.int32)[None], axis=1)
+    down = np.int32(n - 1) - up
+    out: list = [None] * len(queries)
+    for at in range(0, len(queries), BATCH):
+        batch = queries[at:at + BATCH]
+        # The depth at which each query meets each vector; at once if no component favours an end.
+        meets = np.zeros((len(batch), n), np.int32)
+        for i, q in enumerate(batch):
+            if q.any():
+                meets[i] = np.minimum(np.min(down[q > 0], axis=0, initial=n), np.min(up[q < 0], axis=0, initial=n))
+        own = ids[None] == query_ids[at:at + BATCH, None]
+        scores = np.zeros((len(batch), n))
+        known = np.zeros(n, bool)
+        active, depth = np.arange(len(batch)), first
+        while len(active):
             depth = min(depth, n)
-            fresh = np.concatenate([order[n - depth:n - read, up].ravel(), order[read:depth, down].ravel()]) \
-                if len(live) else np.arange(n)
-            mask = np.zeros(n, bool)
-            mask[fresh] = True
-            mask &= ~met
-            new = np.flatnonzero(mask)
-            met |= mask
-            new = new[ids[new] != own]
-            met_ids = np.concatenate([met_ids, ids[new]])
-            met_scores = np.concatenate([met_scores, vectors[new] @ q])
-            if len(met_ids) > k:
-                best = np.lexsort((met_ids, -met_scores))[:k]
-                met_ids, met_scores = met_ids[best], met_scores[best]
-            if depth >= n or not len(live):
-                break
+            met = meets[active] < depth
+            new = np.flatnonzero(met.any(0) & ~known)
+            scores[:, new] = (vectors[new] @ batch.T).T
+            known[new] = True
+            seen = np.where(met & ~own[active], scores[active], -np.inf)
+            kth = np.partition(seen, n - k, axis=1)[:, n - k] if n >= k else np.full(len(active), -np.inf)
             # No vector still unmet can score more than this.
-            bound = ranked[n - depth, up] @ q[up] + ranked[depth - 1, down] @ q[down]
-            if len(met_ids) == k and bound < met_scores.min():
-                break
-            depth, read = depth * 2, depth
-        out.append((met_ids, met_scores))
+            q = batch[active]
+            bound = np.maximum(q, 0) @ ranked[n - depth] + np.minimum(q, 0) @ ranked[depth - 1]
+            over = (bound < kth) | (depth >= n)
+            for i in np.flatnonzero(over):
+                good = np.flatnonzero((seen[i] >= kth[i]) & np.isfinite(seen[i]))
+                best = good[np.lexsort((ids[good], -seen[i, good]))[:k]]
+                out[at + active[i]] = ids[best], seen[i, best]
+            active, depth = active[~over], depth * 4
     return out
 
 
