@@ -3,10 +3,13 @@ Jaccard distance (1 - similarity): links are pairs at distance 0.2 or less.
 
 1. Equal sets are one point. A point's *signature* is its 20 % of shingles that come first in
    one global order (plus one): two points within the radius share a shingle of their
-   signatures, so points not connected through such shingles are farther apart. That cuts the
-   space into far regions without comparing unrelated documents, whose distance is 1 from
-   every pivot. The order is by hash, with shingles that are frequent in a sample of the
-   documents last; the sample only bends the order, any order gives the same links.
+   signatures. The points that share one are compared by sketches: how many of a set's
+   shingles fall on each of 512 buckets. The sum of the differences of two sketches bounds the
+   sets' difference from below, so only pairs that cannot be links are told apart. What stays
+   connected is a region; points of two regions are farther apart than the radius. That separates unrelated
+   documents, whose distance is 1 from every pivot, without comparing them. The order is by
+   hash, with shingles that are frequent in a sample of the documents last; the sample only
+   bends the order, any order gives the same links.
 2. A region is joined with pivots. Points within the radius of a pivot are linked to it; what
    else such a point y can link to lies, by the triangle inequality, in the window of points z
    with d(z, pivot) <= d(y, pivot) + 0.2, so y is finished if no point of another component
@@ -31,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowml.functions.hashing import hash_u32
@@ -45,11 +48,16 @@ PERCENT = 80
 RADIUS = 1 - PERCENT / 100
 #: Points and shingles of a region that one task joins.
 REGION_POINTS = 2_000
-REGION_SHINGLES = 2_000_000
+REGION_SHINGLES = 8_000_000
 PIVOTS = 16
 LEVELS = 4
 #: Frequent shingles that are put last: at most so many, seen in so many sampled documents.
-FREQUENT, FREQUENT_SEEN, SAMPLED = 65_536, 4, 32
+FREQUENT, FREQUENT_SEEN, SAMPLED = 65_536, 2, 16
+#: Buckets of a point's sketch.
+SKETCH = 512
+#: Points sharing a shingle: up to PAIR_POINTS they are paired, up to LIST_POINTS compared in
+#: one task, beyond that put in one region unseen.
+PAIR_POINTS, LIST_POINTS = 16, 4_096
 FILTER_BITS = 26
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -105,24 +113,36 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
     return np.sort(np.asarray([r.s for r in top.select("s").collect()], np.int64).view(np.uint64))
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """How many shingles fall on each bucket, in one byte each (255 stands for more)."""
+    place = (found >> np.uint64(20)).astype(np.int64) % SKETCH
+    return np.minimum(np.bincount(place, minlength=SKETCH), 255).astype(np.uint8)
+
+
+def _sketches(data) -> np.ndarray:
+    return np.frombuffer(b"".join(data), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+
+
 def described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(id, n, set_id, sign): size, digest of the set and signature of every document."""
+    """(id, n, set_id, sign, sketch): size, digest of the set, signature and sketch of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = shared.value
         for batch in batches:
-            sizes, digests, signs = [], [], []
+            sizes, digests, signs, maps = [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text)
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 signs.append(signature(found, last).view(np.int64))
+                maps.append(sketch(found).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(signs, pa.list_(pa.int64()))], names=["id", "n", "set_id", "sign"])
+                 pa.array(signs, pa.list_(pa.int64())), pa.array(maps, pa.binary())],
+                names=["id", "n", "set_id", "sign", "sketch"])
 
-    return docs.mapInArrow(run, "id long, n long, set_id binary, sign array<long>")
+    return docs.mapInArrow(run, "id long, n long, set_id binary, sign array<long>, sketch binary")
 
 
 def _id_filter(ids: DataFrame) -> DataFrame:
@@ -132,74 +152,158 @@ def _id_filter(ids: DataFrame) -> DataFrame:
         F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("bits"))
 
 
+def _filter_words(ids: DataFrame):
+    """The bits of :func:`_id_filter` as a broadcast array of fixed size."""
+    rows = _id_filter(ids).toPandas()
+    words = np.zeros((1 << FILTER_BITS) // 64, np.uint64)
+    words[rows["word"].to_numpy().astype(np.int64)] = rows["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    return ids.sparkSession.sparkContext.broadcast(words)
+
+
+def _passes(words: np.ndarray, h: np.ndarray) -> pa.Array:
+    return pa.array((words[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+
+def _hashed_id():
+    return F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).alias("h")
+
+
 def sets_of(docs: DataFrame, members: DataFrame) -> DataFrame:
     """(region, id, n, data): the shingles (bytes) of the documents in ``members`` (id, region).
 
     Texts are not shuffled: a bit filter of fixed size passes the members (and few others)
     where the texts are read, and only the sets made there are joined exactly.
     """
-    rows = _id_filter(members).toPandas()
-    words = np.zeros((1 << FILTER_BITS) // 64, np.uint64)
-    words[rows["word"].to_numpy()] = rows["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+    shared = _filter_words(members)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
-            h = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((bits[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            batch = batch.filter(_passes(shared.value, batch.column(2).to_numpy()))
             found = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(f) for f in found], pa.int64()),
                  pa.array([f.tobytes() for f in found], pa.binary())], names=["id", "n", "data"])
 
-    hashed = docs.where(F.col("id").isNotNull()).select(
-        "id", "text", F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).alias("h"))
+    hashed = docs.where(F.col("id").isNotNull()).select("id", "text", _hashed_id())
     made = hashed.mapInArrow(run, "id long, n long, data binary").where("n > 0")
     return made.join(members, "id").select("region", "id", "n", "data")
 
 
-class Space:
-    """Points of one region as arrays: for a pivot, exact intersections with many points."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        values, self.flat = np.unique(flat, return_inverse=True)
-        self.mark = np.zeros(len(values), bool)
-
-    def common(self, p: int, others: np.ndarray) -> np.ndarray:
-        """Intersection sizes of point ``p`` with the points ``others``."""
-        mine = self.flat[self.starts[p]:self.starts[p] + self.sizes[p]]
-        self.mark[mine] = True
-        if len(others) == len(self.sizes):
-            hits = np.add.reduceat(self.mark[self.flat].astype(np.int64), self.starts)
-        else:
-            n = self.sizes[others]
-            ends = np.cumsum(n)
-            place = np.repeat(self.starts[others] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)
-            hits = np.add.reduceat(self.mark[self.flat[place]].astype(np.int64), ends - n) if len(n) else n
-        self.mark[mine] = False
-        return hits
-
-
-def measured(common: np.ndarray, a, b) -> tuple[np.ndarray, np.ndarray]:
+def tokens_of(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """(s, u): the signature shingles of the rows whose id is among ``points`` (id). The bit
+    filter may pass a copy of a point besides; that adds an equal point, no wrong link."""
+    shared = _filter_words(points)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(_passes(shared.value, batch.column(2).to_numpy()))
+            sign = batch.column(1)
+            n = np.diff(sign.offsets.to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [sign.flatten(), pa.array(np.repeat(batch.column(0).to_numpy(), n), pa.int64())], names=["s", "u"])
+
+    return rows.select("id", "sign", _hashed_id()).mapInArrow(run, "s long, u long")
+
+
+def _apart(sketches: np.ndarray, p: int, others: np.ndarray) -> np.ndarray:
+    return np.abs(sketches[others] - sketches[p]).sum(1, dtype=np.int64)
+
+
+def may_link(apart, a, b):
+    """Can sets of sizes a and b whose sketches differ by so much be within the radius? Their
+    difference is at most (1 - t) / (1 + t) of the sum of sizes, and the smaller at least t of
+    the larger."""
+    return (apart * (100 + PERCENT) <= (100 - PERCENT) * (a + b)) & (100 * a >= PERCENT * b) & (100 * b >= PERCENT * a)
+
+
+def near_in_list(sketches: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each point the smallest position of its component under :func:`may_link`, by
+    pivots and triangle windows in the space of the sketches."""
+    n = len(sizes)
+    parent, open_ = np.arange(n), np.arange(n)
+    widest = (100 - PERCENT) * 2 * int(sizes.max(initial=0)) // (100 + PERCENT)
+    while len(open_) > 1 and (parent[open_] != parent[open_[0]]).any():
+        p, rest = open_[0], open_[1:]
+        far = _apart(sketches, p, rest)
+        linked = may_link(far, sizes[p], sizes[rest])
+        for c in np.unique(parent[rest[linked]]):
+            a, b = min(c, parent[p]), max(c, parent[p])
+            parent[parent == b] = a
+        foreign = parent[rest] != parent[p]
+        reach = far[foreign].min() if foreign.any() else np.iinfo(np.int64).max
+        open_ = rest[~(linked & (far + widest < reach))]
+    return parent
+
+
+def candidates(tokens: DataFrame, rows: DataFrame, pair_points: int = PAIR_POINTS,
+               list_points: int = LIST_POINTS) -> DataFrame:
+    """Edges (u, v) whose components are the regions: no link connects two of them."""
+    same = Window.partitionBy("s")
+    lists = materialise(tokens.select("s", "u", F.count(F.lit(1)).over(same).alias("c"),
+                                      F.min("u").over(same).alias("v")).where("c > 1"), "lists")
+    info = rows.select(F.col("id").alias("u"), "n", "sketch")
+    few = lists.where(F.col("c") <= pair_points).select("s", "u")
+    pairs = few.join(few.withColumnRenamed("u", "v"), "s").where("u > v").select("u", "v").distinct()
+    other = info.select(F.col("u").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("sketch_v"))
+    sized = pairs.join(info.select("u", "n"), "u").join(other.select("v", "n_v"), "v") \
+        .where((100 * F.col("n") >= PERCENT * F.col("n_v")) & (100 * F.col("n_v") >= PERCENT * F.col("n"))) \
+        .select("u", "v").distinct()
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2_000):
+                part = batch.slice(at, 2_000)
+                u, v, n, n_v = (part.column(i).to_numpy() for i in range(4))
+                apart = np.abs(_sketches(part.column(4).to_pylist()) - _sketches(part.column(5).to_pylist())).sum(1)
+                keep = may_link(apart, n, n_v)
+                yield pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep])], names=["u", "v"])
+
+    paired = sized.join(info, "u").join(other, "v").select("u", "v", "n", "n_v", "sketch", "sketch_v") \
+        .mapInArrow(passing, "u long, v long")
+
+    def run(key, pdf):
+        pdf = pdf.sort_values("u", kind="stable")
+        ids = pdf["u"].to_numpy()
+        root = near_in_list(_sketches(pdf["sketch"]), pdf["n"].to_numpy())
+        return pd.DataFrame({"u": ids, "v": ids[root]})
+
+    some = lists.where((F.col("c") > pair_points) & (F.col("c") <= list_points)).select("s", "u")
+    listed = some.join(info, "u").groupBy("s").applyInPandas(run, "u long, v long")
+    many = lists.where(F.col("c") > list_points).select("u", "v")
+    return paired.unionByName(listed).unionByName(many).where("u <> v").distinct()
+
+
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    return len(np.intersect1d(a, b, assume_unique=True))
+
+
+def measured(shared: np.ndarray, a, b) -> tuple[np.ndarray, np.ndarray]:
     """(distance, linked) from intersection and set sizes; linked is decided in integers."""
-    union = a + b - common
-    return 1 - common / union, 100 * common >= PERCENT * union
+    union = a + b - shared
+    return 1 - shared / union, 100 * shared >= PERCENT * union
 
 
 def join_region(sets: list[np.ndarray]) -> np.ndarray:
-    """For each point of a region the smallest position of its component, by pivots and windows."""
+    """For each point of a region the smallest position of its component, by pivots and windows.
+
+    Points whose sketch shows that they cannot be linked to a pivot are not intersected with
+    it; the sketch's bound on their distance takes its place in the window test.
+    """
     n = len(sets)
     parent = np.arange(n)
     if n < 2:
         return parent
-    space, open_ = Space(sets), np.arange(n)
+    sizes = np.fromiter(map(len, sets), np.int64, n)
+    sketches = np.stack([sketch(s) for s in sets]).astype(np.int16)
+    open_ = np.arange(n)
     while len(open_) > 1 and (parent[open_] != parent[open_[0]]).any():
         p, rest = open_[0], open_[1:]
-        far, linked = measured(space.common(p, rest), space.sizes[p], space.sizes[rest])
+        apart = _apart(sketches, p, rest)
+        far, linked = 2 * apart / (sizes[p] + sizes[rest] + apart), np.zeros(len(rest), bool)
+        near = np.flatnonzero(may_link(apart, sizes[p], sizes[rest]))
+        shared = np.fromiter((common(sets[p], sets[rest[i]]) for i in near), np.int64, len(near))
+        far[near], linked[near] = measured(shared, sizes[p], sizes[rest[near]])
         for c in np.unique(parent[rest[linked]]):
             a, b = min(c, parent[p]), max(c, parent[p])
             parent[parent == b] = a
@@ -239,10 +343,11 @@ def _meet(points: DataFrame, pivots: DataFrame, chunk: int) -> DataFrame:
     def run(key, left, right):
         if not len(left) or not len(right):
             return pd.DataFrame({"region": [], "id": [], "pid": [], "d": [], "linked": []})
-        space, n = Space(_sets(left["data"]) + _sets(right["data"])), len(left)
-        out = []
-        for j, pid in enumerate(right["id"]):
-            d, linked = measured(space.common(n + j, np.arange(n)), space.sizes[n + j], space.sizes[:n])
+        points, out = _sets(left["data"]), []
+        sizes = np.fromiter(map(len, points), np.int64, len(points))
+        for pid, pivot in zip(right["id"], _sets(right["data"])):
+            shared = np.fromiter((common(pivot, x) for x in points), np.int64, len(points))
+            d, linked = measured(shared, len(pivot), sizes)
             out.append(pd.DataFrame({"region": key[0], "id": left["id"].to_numpy(), "pid": pid, "d": d, "linked": linked}))
         return pd.concat(out)
 
@@ -325,11 +430,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = materialise(described(docs, frequent_shingles(docs)), "shingled")
     usable = rows.where("n > 0 and id is not null")
     groups = materialise(usable.groupBy("set_id").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("sign").alias("sign")), "sets")
-    # Points that share a shingle of their signatures, as stars around the smallest of them.
-    tokens = groups.select(F.col("rep").alias("u"), F.explode("sign").alias("s"))
-    shared = tokens.groupBy("s").agg(F.min("u").alias("v"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    near = tokens.join(shared.select("s", "v"), "s").where("u <> v").select("u", "v").distinct()
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "sets")
+    tokens = tokens_of(usable, groups.select(F.col("rep").alias("id")))
+    near = candidates(tokens, usable)
     regions = materialise(components(near).select(F.col("node").alias("id"), F.col("root").alias("region")), "regions")
     points = materialise(sets_of(docs, regions), "points")
     found = materialise(components(links(points, region_points, region_shingles, levels)), "components")
