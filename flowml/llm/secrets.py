@@ -72,11 +72,9 @@ def _looks_random(value: Column) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         repository: Column | None = None, owner: Column | None = None) -> DataFrame:
-    """One row per candidate match: row, id, repository, owner, kind, start, end, value hash.
-
-    ``row`` numbers the rows of ``docs``; rows without a match have one row with null kind.
-    """
+         repository: Column | None = None, owner: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(row, id) of every row of ``docs``, and one row per candidate match: row, id, repository,
+    owner, kind, start, end, value hash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"),
                        F.coalesce(repository if repository is not None else F.lit(""), F.lit("")).alias("repository"),
@@ -86,15 +84,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         *[_matches(F.col("text"), i, k) for i, k in enumerate(KINDS)]).alias("m"))
     # Written once: the row numbers are then fixed, whatever is computed again later.
     found = materialise(found.withColumn("row", F.monotonically_increasing_id()), "secret-matches")
-    each = found.select("row", "id", "repository", "owner", F.posexplode_outer("m").alias("n", "x"))
+    each = found.select("row", "id", "repository", "owner", F.posexplode("m").alias("n", "x"))
     order = Window.partitionBy("row", "x.kind").orderBy("n")
     end = F.sum(F.col("x.gap") + F.col("x.len")).over(order)
-    least = F.element_at(F.array(*[F.lit(k.least) for k in KINDS]), F.col("x.kind") + 1)
     placed = each.select("row", "id", "repository", "owner", F.col("x.kind").alias("kind"),
                          (end - F.col("x.len")).alias("start"), end.alias("end"),
                          F.col("x.vlen").alias("vlen"), F.col("x.value").alias("value"))
-    passed = placed.where(F.col("vlen") >= F.when(F.col("kind").isNull(), 0).otherwise(
-        F.element_at(F.array(*[F.lit(k.least) for k in KINDS]), F.coalesce(F.col("kind"), F.lit(0)) + 1)))
+    least = F.element_at(F.array(*[F.lit(k.least) for k in KINDS]), F.col("kind") + 1)
+    passed = placed.where(F.col("vlen") >= least)
     return found.select("row", "id"), passed.select(
         "row", "id", "repository", "owner", "kind", "start", "end",
         F.sha2("value", 256).alias("hash"), _looks_random(F.col("value")).alias("random"))
