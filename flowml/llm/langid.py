@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 from flowml.functions.hashing import hash_u32
 from flowml.llm.common import fold, table
 from flowml.llm.ngrams import WordTable, document_bag
+from flowml.session import materialise
 
 BITS = 16
 SIZES = (1, 2, 3, 4)
 EPOCHS = 8
 BATCH = 64
 RATE = 0.5
-#: Bounds of the training sample.
+#: Bounds of the training sample, and of the languages (their table is broadcast).
+MAX_LANGS = 10_000
 SAMPLE_ROWS_PER_LANG = 800
 SAMPLE_CHARS = 50_000
 FOLDS, HELD_OUT = 4, 2
@@ -76,7 +78,7 @@ def train(texts: list[str], langs: list[str], seed: int = 3) -> Model:
     bags = []
     for text in texts:
         ids, counts = document_bag(text.split(), SIZES, BITS, False)
-        bags.append((ids, (counts / max(counts.sum(), 1)).astype(np.float32)))
+        bags.append((ids.astype(np.int32), (counts / max(counts.sum(), 1)).astype(np.float32)))
     want = code[[names.index(x) for x in langs]] if langs else np.zeros((0, code.shape[1]))
     weights = np.zeros((1 << BITS, code.shape[1]), np.float32)
     seen = np.full((1 << BITS, 1), 1e-8, np.float32)
@@ -110,6 +112,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT)) \
         .select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(counts, "langs")
+    if counts.count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages in {lang_col!r}")
     share = counts.select("lang", F.least(F.lit(1.0), F.lit(float(rows_per_lang)) / F.col("n")).alias("share"))
     sample = (usable.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(share), "lang")
               .where(hash_u32("lang", F.coalesce(F.col("id").cast("string"), F.lit("null"))) < F.col("share") * F.lit(2.0 ** 32))

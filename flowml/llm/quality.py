@@ -67,7 +67,7 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Model:
         total = counts.sum() + again
         if again:
             ids, counts = np.append(ids, _REPEAT), np.append(counts, again)
-        bags.append((ids, (counts / max(total, 1)).astype(np.float32)))
+        bags.append((ids.astype(np.int32), (counts / max(total, 1)).astype(np.float32)))
     y = np.asarray(labels)
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (_REPEAT + 1, DIM)).astype(np.float32)
