@@ -59,14 +59,22 @@ class Encoder:
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(vocabulary)
+        self.vocabulary, self._library = vocabulary, None
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.chunks = tiktoken.Encoding("chunks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         self.cache: dict[str, bytes] = {}
 
+    @property
+    def library(self):
+        """The tokenizers object, loaded when the first text needs it."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.vocabulary)
+        return self._library
+
     def encode(self, text: str) -> bytes:
         if _WHOLE.search(text):
             ids = self.library.encode(text, add_special_tokens=False).ids
