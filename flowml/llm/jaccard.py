@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowml.functions.hashing import hash_u32
@@ -238,9 +238,11 @@ def near_in_list(sketches: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def candidates(tokens: DataFrame, rows: DataFrame, pair_points: int = PAIR_POINTS,
                list_points: int = LIST_POINTS) -> DataFrame:
     """Edges (u, v) whose components are the regions: no link connects two of them."""
-    same = Window.partitionBy("s")
-    lists = materialise(tokens.select("s", "u", F.count(F.lit(1)).over(same).alias("c"),
-                                      F.min("u").over(same).alias("v")).where("c > 1"), "lists")
+    # Summed up before the exchange: no task meets all points of a shared shingle.
+    tokens = materialise(tokens.select("s", "u"), "tokens")
+    facts = materialise(tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("u").alias("v")).where("c > 1"), "shared")
+    lists = materialise(attach_by_key(tokens, facts, "s", "c"), "lists")
+    drop_scratch(tokens.sparkSession, tokens, facts)
     info = rows.select(F.col("id").alias("u"), "n", "sketch")
     few = lists.where(F.col("c") <= pair_points).select("s", "u")
     pairs = few.join(few.withColumnRenamed("u", "v"), "s").where("u > v").select("u", "v").distinct()

@@ -151,3 +151,16 @@ def test_stage_keeps_one_of_each_group(make_docs, rows):
     assert out.columns == docs.columns
     want = brute(rows)
     assert sorted(r.doc_id for r in out.collect()) == sorted(set(want.values())) + [9000, 9001]
+
+
+def test_points_of_a_shared_shingle_are_counted_without_a_window(make_docs, rows, monkeypatch):
+    plans, plain = {}, jaccard.materialise
+
+    def seen(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().analyzed().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(jaccard, "materialise", seen)
+    got = jaccard.jaccard_components(make_docs(rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute(rows)
+    assert "lists" in plans and not [n for n, p in plans.items() if "Window" in p]
