@@ -424,6 +424,17 @@ def links(points: DataFrame, region_points: int = REGION_POINTS, region_shingles
     return found
 
 
+def id_links(usable: DataFrame, groups: DataFrame) -> DataFrame:
+    """Edges (u, v) between the representatives of the sets of one id, for ids with more than one
+    set: each to the smallest."""
+    pairs = usable.select("id", "set_id").distinct()
+    several = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id")
+    held = materialise(pairs.join(several, "id", "left_semi"), "shared-ids")
+    reps = materialise(attach_by_key(held, groups, "set_id", "copies").select("id", "rep"), "shared-reps")
+    least = reps.groupBy("id").agg(F.min("rep").alias("v"))
+    return reps.join(least, "id").where("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        region_points: int = REGION_POINTS, region_shingles: int = REGION_SHINGLES,
                        levels: int = LEVELS) -> DataFrame:
@@ -437,12 +448,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = candidates(tokens, usable)
     regions = materialise(components(near).select(F.col("node").alias("id"), F.col("root").alias("region")), "regions")
     points = materialise(sets_of(docs, regions), "points")
-    found = materialise(components(links(points, region_points, region_shingles, levels)), "components")
+    # Rows of one id are one node: its sets are linked, and all carry the smallest of its component.
+    linked = links(points, region_points, region_shingles, levels).unionByName(id_links(usable, groups))
+    found = materialise(components(linked), "components")
     facts = materialise(groups.select("set_id", "rep", "copies").join(
         found.select(F.col("node").alias("rep"), "root"), "rep", "left")
         .select("set_id", "copies", F.coalesce("root", "rep").alias("component_id")), "set-components")
     named = attach_by_key(usable.select("id", "n", "set_id"), facts, "set_id", "copies")
-    # Rows of one id are one node: all carry the smallest of its components.
     alone = rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component_id"))
     drop_scratch(docs.sparkSession, points)
     return named.select("id", "n", "component_id").unionByName(alone) \

@@ -164,3 +164,12 @@ def test_points_of_a_shared_shingle_are_counted_without_a_window(make_docs, rows
     got = jaccard.jaccard_components(make_docs(rows)).collect()
     assert {r.doc_id: r.component_id for r in got} == brute(rows)
     assert "lists" in plans and not [n for n, p in plans.items() if "Window" in p]
+
+
+def test_an_id_with_two_texts_links_them(make_docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(3, a), (5, a), (4, b), (5, b), (6, c), (7, c), (8, c), (8, a + " tail")]
+    want = brute(rows)
+    got = jaccard.jaccard_components(make_docs(rows)).collect()
+    assert len(got) == len(rows) and want[4] == want[5] == want[6] == 3
+    assert all(r.component_id == want[r.doc_id] for r in got)
