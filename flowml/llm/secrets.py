@@ -1,8 +1,8 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Fixed base patterns (assignments, access keys, long hex runs) give spans; every candidate
-value, and every long mixed-alphabet token besides, is hashed, and the hashes are counted
-over the whole corpus by distinct repositories and owners. A value that many owners hold is
+value, and every long mixed-alphabet token besides, is hashed (of ``name=value`` the value), and
+the hashes are counted over the whole corpus by distinct repositories and owners. A value that many owners hold is
 a widely copied example; a token held by few owners that looks random is reported as an
 extra span of kind ``live``.
 
@@ -71,6 +71,15 @@ def _looks_random(value: Column) -> Column:
     return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.size(chars) >= 10)
 
 
+def _held(token: Column) -> Column:
+    """The value of a token ``name=value`` (padding stays), and any other token whole. A ``/``
+    before the last ``=`` makes it a path."""
+    stem = F.rtrim(token, F.lit("="))
+    value = F.concat(F.substring_index(stem, "=", -1), F.substring(token, F.length(stem) + 1, F.length(token)))
+    name = F.substring(token, F.lit(1), F.length(token) - F.length(value))
+    return F.when((F.length(stem) == 0) | name.contains("/"), token).otherwise(value)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          repository: Column | None = None, owner: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(row, id) of every row of ``docs``, and one row per candidate match: row, id, repository,
@@ -92,9 +101,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          F.col("x.vlen").alias("vlen"), F.col("x.value").alias("value"))
     least = F.element_at(F.array(*[F.lit(k.least) for k in KINDS]), F.col("kind") + 1)
     passed = placed.where(F.col("vlen") >= least)
+    held = F.when(F.col("kind") == len(BASE_KINDS), _held(F.col("value"))).otherwise(F.col("value"))
     return found.select("row", "id"), passed.select(
         "row", "id", "repository", "owner", "kind", "start", "end",
-        F.sha2("value", 256).alias("hash"), _looks_random(F.col("value")).alias("random"))
+        F.sha2(held, 256).alias("hash"), _looks_random(F.col("value")).alias("random"))
 
 
 def ownership(candidates: DataFrame) -> DataFrame:

@@ -58,3 +58,22 @@ def test_query_columns_and_empty_table(spark, make_docs):
 def test_no_python_in_the_plan(spark):
     plan = secrets.op4_secret_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_key_copied_under_other_names_is_one_value(make_docs):
+    key, own = "aB3dE5gH7jK9mN1pQ2rS==", "Zx81Yw72Vu63Ts54Rq45"
+    docs = make_docs([(i, f"{name}={key} end", "en", f"s{i}") for i, name in enumerate(("api_key", "token", "secret"))]
+                     + [(9, f"token={own} end", "en", "s1"), (10, f"x/part={own}/y end", "en", "s2")])
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(docs, owner=F.col("source")).collect()}
+    for i in range(3):
+        assert [(s["name"], s["n_owners"], s["copied"]) for s in got[i]] == [("assign", 3, True)]
+    assert [s["name"] for s in got[9]] == ["assign", "live"] and len({s["hash"] for s in got[9]}) == 1
+    assert [(s["name"], s["start"], s["hash"]) for s in got[10]] == [
+        ("live", 0, hashlib.sha256(f"x/part={own}/y".encode()).hexdigest())]
+
+
+def test_value_of_a_token(spark):
+    want = {"api_key=abc": "abc", "abc": "abc", "abc==": "abc==", "a=b=c=": "c=", "===": "===",
+            "x/y=z": "x/y=z", "k=a/b": "a/b", "=abc": "abc"}
+    rows = spark.createDataFrame([(k,) for k in want], "token string")
+    assert {r.token: r.held for r in rows.select("token", secrets._held(F.col("token")).alias("held")).collect()} == want
