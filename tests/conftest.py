@@ -9,8 +9,11 @@ sys.path.insert(0, str(ROOT))
 # Python workers import the package too, whatever folder the tests are started from.
 os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPATH", "")])
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+
+@pytest.fixture(scope="session")
+def sf001():
+    """The smallest test tables."""
+    return "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")

@@ -10,8 +10,6 @@ from flowml.plans import inputs as I
 from flowml.session import scratch_path
 from flowml.streaming.scoring import score_messages, start_scoring
 
-from conftest import SF001
-
 
 def test_bayes_closed_form(spark):
     rows = [(0.0, 1.0, 0.0), (0.0, 2.0, 1.0), (1.0, 0.0, 3.0), (1.0, 1.0, 1.0), (1.0, 0.0, 2.0)]
@@ -39,8 +37,8 @@ def test_tree_budget_bounded(spark):
     assert tree_memory_budget(spark) >= 16
 
 
-def test_pipeline_save_load_same_predictions(spark):
-    flows = I.flows_from_events(I.table(spark, SF001, "events"))
+def test_pipeline_save_load_same_predictions(spark, sf001):
+    flows = I.flows_from_events(I.table(spark, sf001, "events"))
     model = fit_flow_pipeline(flows, "zeek", "tree", maxDepth=6)
     path = save_pipeline(model, scratch_path(spark, "test-model"))
     loaded = load_pipeline(path)
@@ -52,13 +50,13 @@ def test_pipeline_save_load_same_predictions(spark):
     assert a == c   # deterministic at a fixed seed
 
 
-def test_stream_equals_batch(spark):
-    events = I.table(spark, SF001, "events")
+def test_stream_equals_batch(spark, sf001):
+    events = I.table(spark, sf001, "events")
     flows = I.flows_from_events(events)
     model = fit_flow_pipeline(flows, "zeek", "tree", maxDepth=6)
     batch = score_messages(I.conn_messages(events), model, passthrough=["msg_id"])
     stream_src = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-                  .parquet(SF001))
+                  .parquet(sf001))
     alerts = score_messages(I.conn_messages(stream_src), model, passthrough=["msg_id"])
     assert alerts.isStreaming
     q = start_scoring(alerts, "memory", checkpoint=scratch_path(spark, "test-ckpt"),
