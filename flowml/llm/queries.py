@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from flowml.llm import exact_dedup, jaccard, langid, lm_scoring, mixing, packing, quality, secrets, topk, warc
+from flowml.llm import (exact_dedup, jaccard, langid, lm_scoring, mixing, packing, quality, secrets, topk,
+                        vector_codes, warc)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_best_two_fit": packing.op8_best_two_fit,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_warc_revisits": warc.op10_warc_revisits,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
 }
 
 ORACLE = {
@@ -22,4 +24,5 @@ ORACLE = {
     "op5_source_mix": mixing.SQL,
     "op7_topk_search": topk.SQL,
     "op10_warc_revisits": warc.SQL,
+    "op12_vector_codes": vector_codes.SQL,
 }
