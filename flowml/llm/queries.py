@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowml.llm import (exact_dedup, jaccard, langid, lm_scoring, mixing, packing, quality, secrets, topk,
+from flowml.llm import (alignment, exact_dedup, jaccard, langid, lm_scoring, mixing, packing, quality, secrets, topk,
                         vector_codes, warc)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_warc_revisits": warc.op10_warc_revisits,
     "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 ORACLE = {
