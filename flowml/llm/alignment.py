@@ -31,11 +31,15 @@ an empty table gives no rows; other columns are ignored; strings of special toke
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import hashlib
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -49,17 +53,21 @@ from flowml.session import drop_scratch, materialise
 #: Documents longer than this are aligned in byte ranges of about this length.
 CHUNK_BYTES = 65_536
 #: Bytes of text of a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Fragments composed at once.
 FAN_IN = 8
-#: Words kept by a Python worker, and the longest word that is kept.
-CACHE_WORDS, CACHE_LENGTH = 150_000, 64
+#: Words kept by a Python worker; they have at most so many bytes and occur so often in a block.
+CACHE_WORDS, CACHE_LENGTH, CACHE_SEEN = 100_000, 64, 3
+#: Words encoded together.
+SLICE_WORDS = 20_000
 #: A pair of ids is a << ID_BITS | b.
 ID_BITS = 24
 
 # A space between visible characters: ASCII, or a Latin letter of two UTF-8 bytes.
 _SEEN = rb"(?:(?<=[!-~])|(?<=\xc3[\x80-\xbf]))"
 _SPLIT = re.compile(_SEEN + rb"(?= [!-~\xc3])")
+# Characters whose class no two libraries see differently.
+_PLAIN = re.compile(r" [!-~\u00c0-\u00ff]+").fullmatch
 
 
 @dataclass(frozen=True)
@@ -130,16 +138,23 @@ def align(a: list[int], a_end: list[int], b: list[int], b_end: list[int]) -> tup
     return Fragment(True, parts[0], ";".join(parts[1:]), len(parts) - 1, rest), links
 
 
-@dataclass(frozen=True)
-class Word:
-    """A word, or the part of one that a range holds: token counts, fragment and links."""
+class Word(NamedTuple):
+    """A whole word: token counts, its groups as text, and its links, one for each group."""
 
-    ok: bool
     n_a: int
     n_b: int
-    fragment: Fragment
+    text: str
     links: tuple[int, ...]
-    text: str = ""
+
+
+@contextlib.contextmanager
+def _no_cycles():
+    """Many small objects without reference cycles are made: the collector need not look for any."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
 
 
 @dataclass
@@ -148,7 +163,8 @@ class Aligner:
 
     file_a: str
     file_b: str
-    cache: dict[bytes, Word] = field(default_factory=dict)
+    ranks: str | None = None
+    cache: dict[bytes, Word | None] = field(default_factory=dict)
 
     def __post_init__(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -160,49 +176,94 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=self.file_b)
         self.bytes_a = _entries(self.a)
         self.bytes_b = [_piece(self.b, i) for i in range(self.b.get_piece_size())]
-
-    def tokens(self, words: list[bytes]) -> list[tuple]:
-        """(ok, a ids, a ends, b ids, b ends) of words, each encoded on its own."""
+        self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.name_a, self.name_b = list(map(str, range(len(self.bytes_a)))), list(map(str, range(len(self.bytes_b))))
+        self.fast = _ranked(self.ranks) if self.ranks else None
+
+    def ids(self, words: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of words under A and B, each word encoded on its own."""
+        if not words:
+            return [], []
         texts = [w.decode("utf-8", "replace") for w in words]
-        found_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)] if texts else []
+        if self.fast:
+            # The same vocabulary in the faster library.
+            found_a = [self.fast(t) if _PLAIN(t) else None for t in texts]
+            others = [i for i, f in enumerate(found_a) if f is None]
+        else:
+            found_a, others = [None] * len(texts), list(range(len(texts)))
+        for i, e in zip(others, self.a.encode_batch([texts[i] for i in others], add_special_tokens=False)):
+            found_a[i] = e.ids
         # Every word starts with the space that B adds by itself.
-        found_b = self.b.encode([t[1:] for t in texts], num_threads=1) if texts else []
-        out = []
-        for w, a, b in zip(words, found_a, found_b):
-            spelt_a, spelt_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            ok = b"".join(spelt_a) == w and b"".join(spelt_b) == w
-            out.append((ok, a, np.cumsum([len(x) for x in spelt_a]).tolist(), b,
-                        np.cumsum([len(x) for x in spelt_b]).tolist()))
-        return out
-
-    def _word(self, ok, a, a_end, b, b_end) -> Word:
-        if not ok:
-            return Word(False, 0, 0, Fragment(), ())
-        fragment, links = align(a, a_end, b, b_end)
-        return Word(True, len(a), len(b), fragment, tuple(links), fragment.whole()[0] if fragment.cuts else "")
-
-    def words(self, found: set[bytes]) -> dict[bytes, Word]:
-        """The record of every word; short ones are kept for later calls."""
-        new = [w for w in found if w not in self.cache]
-        made = {w: self._word(*t) for w, t in zip(new, self.tokens(new))}
-        out = {w: made[w] if w in made else self.cache[w] for w in found}
-        if len(self.cache) + len(made) > CACHE_WORDS:
+        return found_a, self.b.encode([t[1:] for t in texts], num_threads=1)
+
+    def spelt(self, word: bytes, a: list[int], b: list[int]) -> bool:
+        """Do the tokens of both spell out the word?"""
+        return (b"".join(map(self.bytes_a.__getitem__, a)) == word
+                and b"".join(map(self.bytes_b.__getitem__, b)) == word)
+
+    def aligned(self, words: list[bytes]) -> list[Word | None]:
+        """The records of whole words (at the end of a word both end, so no group stays open).
+
+        The words are put one after the other, so the cuts of all are the bytes at which both
+        lists of ends agree.
+        """
+        a, b = self.ids(words)
+        size = np.array(list(map(len, words)), np.int64)
+        if not (self._spell(words, size, a, self.bytes_a) and self._spell(words, size, b, self.bytes_b)):
+            good = [i for i, w in enumerate(words) if self.spelt(w, a[i], b[i])]
+            out: list[Word | None] = [None] * len(words)
+            for i, r in zip(good, self._records([a[i] for i in good], [b[i] for i in good])):
+                out[i] = r
+            return out
+        return self._records(a, b)
+
+    @staticmethod
+    def _spell(words: list[bytes], size: np.ndarray, ids: list[list[int]], entries: list[bytes]) -> bool:
+        """Do the tokens spell out every word? Equal lengths word by word, and equal bytes in all."""
+        found = [b"".join(map(entries.__getitem__, i)) for i in ids]
+        return bool((np.array(list(map(len, found)), np.int64) == size).all()) and b"".join(found) == b"".join(words)
+
+    def _records(self, a: list[list[int]], b: list[list[int]]) -> list[Word]:
+        n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (a, b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
+        end_a, end_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
+        _, at_a, at_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
+        links = (flat_a[at_a] << ID_BITS | flat_b[at_b]).tolist()
+        name_a, name_b = (list(map(n.__getitem__, f.tolist())) for n, f in ((self.name_a, flat_a), (self.name_b, flat_b)))
+        to_a, to_b = (at_a + 1).tolist(), (at_b + 1).tolist()
+        groups = [f"{name_a[i]}|{name_b[m]}" if j - i == n - m == 1 else ",".join(name_a[i:j]) + "|" + ",".join(name_b[m:n])
+                  for i, j, m, n in zip([0, *to_a], to_a, [0, *to_b], to_b)]
+        # The last cut of a word is the end of its last token.
+        to = (np.searchsorted(at_a, np.cumsum(n_a) - 1) + 1).tolist()
+        return [Word(x, y, ";".join(groups[i:j]), tuple(links[i:j]))
+                for x, y, i, j in zip(n_a.tolist(), n_b.tolist(), [0, *to], to)]
+
+    def words(self, found: list[bytes], times: np.ndarray) -> list[Word | None]:
+        """The records of distinct words; None for one whose tokens do not spell it out. Short
+        words that occur several times are kept for later calls."""
+        out = list(map(self.cache.get, found, [0] * len(found)))
+        new = [i for i, r in enumerate(out) if r == 0]
+        fresh = [found[i] for i in new]
+        with _no_cycles():
+            for at in range(0, len(new), SLICE_WORDS):
+                for i, r in zip(new[at:at + SLICE_WORDS], self.aligned(fresh[at:at + SLICE_WORDS])):
+                    out[i] = r
+        keep = [i for i in new if times[i] >= CACHE_SEEN and len(found[i]) <= CACHE_LENGTH][:CACHE_WORDS]
+        if len(self.cache) + len(keep) > CACHE_WORDS:
             self.cache.clear()
-        self.cache.update(_short(made))
+        self.cache.update((found[i], out[i]) for i in keep)
         return out
 
-    def part(self, word: bytes, low: int, high: int) -> Word:
-        """The tokens of a word that end in (low, high], counted from the word's first byte."""
-        ok, a, a_end, b, b_end = self.tokens([word])[0]
-        a, a_end = _within(a, a_end, low, high)
-        b, b_end = _within(b, b_end, low, high)
-        return self._word(ok, a, a_end, b, b_end)
-
-
-def _short(made: dict[bytes, Word]) -> dict[bytes, Word]:
-    """At most ``CACHE_WORDS`` of the short words."""
-    short = [w for w in made if len(w) <= CACHE_LENGTH][:CACHE_WORDS]
-    return {w: made[w] for w in short}
+    def part(self, word: bytes, low: int, high: int) -> tuple[int, int, Fragment, tuple[int, ...]] | None:
+        """(n_a, n_b, fragment, links) of the tokens of a word that end in (low, high], counted
+        from the word's first byte."""
+        (a,), (b,) = self.ids([word])
+        if not self.spelt(word, a, b):
+            return None
+        a, a_end = _within(a, np.cumsum(self.size_a[a]).tolist(), low, high)
+        b, b_end = _within(b, np.cumsum(self.size_b[b]).tolist(), low, high)
+        fragment, links = align(a, a_end, b, b_end)
+        return len(a), len(b), fragment, tuple(links)
 
 
 def _within(ids: list[int], ends: list[int], low: int, high: int) -> tuple[list[int], list[int]]:
@@ -227,6 +288,19 @@ def _piece(processor, i: int) -> bytes:
     return bytes([int(piece[3:5], 16)]) if processor.is_byte(i) else piece.replace("▁", " ").encode()
 
 
+def _ranked(file: str):
+    """Ids of a text by the merge ranks of the same vocabulary."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(file, "rb") as lines:
+        ranks = {base64.b64decode(x): int(i) for x, i in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                             special_tokens={}).encode_ordinary
+
+
 _aligners: dict[tuple, Aligner] = {}
 
 
@@ -237,11 +311,12 @@ def aligner(*files: str) -> Aligner:
     return _aligners[files]
 
 
-def public_files() -> tuple[str, str]:
-    """Paths of the public vocabularies A and B."""
+def public_files() -> tuple[str, str, str]:
+    """Paths of the public vocabularies A and B, and of A's merge ranks."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json")), str(public_tokenizers.path("piece_bpe_32k.model"))
+    return tuple(str(public_tokenizers.path(n)) for n in (
+        "byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"))
 
 
 def byte_ranges(data: bytes, chunk: int) -> list[tuple[int, int, int, int]]:
@@ -275,33 +350,44 @@ _ARROW = pa.schema([pa.field(n, {"int": pa.int32(), "long": pa.int64(), "boolean
 class Block:
     """Documents or ranges whose words are numbered together."""
 
-    def __init__(self, number: int):
-        self.number, self.place, self.records = number, {}, []
-        self.rows: list[dict] = []
-        self.used: list[np.ndarray] = []
-
-    def numbers(self, words: list[bytes], found: dict[bytes, Word]) -> np.ndarray:
-        place, records = self.place, self.records
-        for w in words:
-            if w not in place:
-                place[w] = len(records)
-                records.append(found[w])
-        return np.fromiter(map(place.__getitem__, words), np.uint32, len(words))
-
-    def number_of(self, word: Word) -> int:
-        """A number for a part of a word, which no other row shares."""
-        self.records.append(word)
-        return len(self.records) - 1
-
-    def finished(self, row: int | None = None) -> pa.RecordBatch:
-        """The rows and the block's own row: distinct pairs with counts, and each word's pairs."""
-        if self.used:
-            links = [w.links for w in self.records]
-            sizes = np.fromiter(map(len, links), np.int64, len(links))
-            flat = np.fromiter((x for w in links for x in w), np.int64, int(sizes.sum()))
-            times = np.zeros(len(links), np.int64)
-            for numbers in self.used:
-                times += np.bincount(numbers, minlength=len(links))
+    def __init__(self, number: int, tools: Aligner, lists: list[list[bytes]]):
+        place: dict[bytes, int] = {}
+        self.number, self.rows = number, []
+        self.used = [np.array([place.setdefault(w, len(place)) for w in words], np.int64) for words in lists]
+        self.times = np.zeros(len(place), np.int64)
+        for used in self.used:
+            self.times += np.bincount(used, minlength=len(place))
+        self.records = tools.words(list(place), self.times)
+        known = [r or Word(0, 0, "", ()) for r in self.records]
+        self.ok = np.array([r is not None for r in self.records], bool)
+        self.n_a, self.n_b = (np.array([r[i] for r in known], np.int64) for i in (0, 1))
+        self.text = [r.text for r in known]
+        self.links = [r.links for r in known]
+        self.n_links = np.array(list(map(len, self.links)), np.int64)
+
+    def spelt(self, i: int) -> bool:
+        return bool(self.ok[self.used[i]].all())
+
+    def left_out(self, i: int) -> None:
+        """List ``i`` does not count."""
+        self.times -= np.bincount(self.used[i], minlength=len(self.times))
+
+    def counted(self, i: int) -> dict:
+        used = self.used[i]
+        return {"n_a": int(self.n_a[used].sum()), "n_b": int(self.n_b[used].sum()),
+                "n_links": int(self.n_links[used].sum()), "words": used.astype("<u4").tobytes()}
+
+    def joined(self, used: np.ndarray) -> str:
+        return ";".join(map(self.text.__getitem__, used.tolist()))
+
+    def finished(self, row: int | None = None, parts: Sequence[tuple[int, ...]] = ()) -> pa.RecordBatch:
+        """The rows and the block's own row: distinct pairs with counts, and each word's pairs.
+        ``parts``: links of parts of words, numbered after the words."""
+        links = [*self.links, *parts]
+        times = np.concatenate([self.times, np.ones(len(parts), np.int64)])
+        if times.any():
+            sizes = np.array(list(map(len, links)), np.int64)
+            flat = np.fromiter(chain.from_iterable(links), np.int64, int(sizes.sum()))
             pairs, places = np.unique(flat, return_inverse=True)
             counts = np.zeros(len(pairs), np.int64)
             np.add.at(counts, places, np.repeat(times, sizes))
@@ -319,27 +405,22 @@ def _fresh_blocks() -> Iterator[int]:
         n += 1
 
 
-def _whole_documents(docs: DataFrame, files: tuple[str, str], block_bytes: int) -> DataFrame:
+def _whole_documents(docs: DataFrame, files: tuple[str, ...], block_bytes: int) -> DataFrame:
     """Aligns (row, id, data) documents that are not cut."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools, fresh = aligner(*files), _fresh_blocks()
 
         def block(items: list[tuple]) -> pa.RecordBatch:
-            split = [_SPLIT.split(b" " + data) if data else [] for _, _, data in items]
-            found = tools.words({w for words in split for w in words})
-            made = Block(next(fresh))
-            for (row, doc, _), words in zip(items, split):
-                records = [found[w] for w in words]
-                if not records or not all(r.ok for r in records):
+            made = Block(next(fresh), tools, [_SPLIT.split(b" " + data) if data else [] for _, _, data in items])
+            for i, (row, doc, data) in enumerate(items):
+                if not data or not made.spelt(i):
+                    made.left_out(i)
                     made.rows.append({"kind": 0, "row": row, "id": doc})
                     continue
-                used = made.numbers(words, found)
-                made.used.append(used)
-                made.rows.append({
-                    "kind": 1, "block": made.number, "row": row, "id": doc, "n_a": sum(r.n_a for r in records),
-                    "n_b": sum(r.n_b for r in records), "n_links": sum(len(r.links) for r in records),
-                    "groups": sum(r.fragment.groups + 1 for r in records), "words": used.astype("<u4").tobytes(),
-                    "hash": hashlib.sha256(";".join(r.text for r in records).encode()).hexdigest()})
+                counted = made.counted(i)
+                made.rows.append({"kind": 1, "block": made.number, "row": row, "id": doc, **counted,
+                                  "groups": counted["n_links"],
+                                  "hash": hashlib.sha256(made.joined(made.used[i]).encode()).hexdigest()})
             return made.finished()
 
         for batch in batches:
@@ -372,7 +453,7 @@ def _ranges(docs: DataFrame, chunk: int) -> DataFrame:
         run, "row long, id long, k int, low long, high long, base long, data binary")
 
 
-def _range_fragments(ranges: DataFrame, files: tuple[str, str]) -> DataFrame:
+def _range_fragments(ranges: DataFrame, files: tuple[str, ...]) -> DataFrame:
     """Aligns byte ranges; every range is a block of its own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools, fresh = aligner(*files), _fresh_blocks()
@@ -380,50 +461,39 @@ def _range_fragments(ranges: DataFrame, files: tuple[str, str]) -> DataFrame:
             for row, doc, k, low, high, base, data in zip(*(batch.column(i) for i in range(7))):
                 low, high, base, data = low.as_py(), high.as_py(), base.as_py(), data.as_py()
                 words = _SPLIT.split(data)
-                ends = np.cumsum([len(w) for w in words]) + base
+                ends = base + np.cumsum([len(w) for w in words])
                 begins = ends - [len(w) for w in words]
-                inner = [w for w, s, e in zip(words, begins, ends) if s >= low and e <= high]
-                found = tools.words(set(inner))
+                inner = (begins >= low) & (ends <= high)
                 # Block numbers below zero are those of ranges.
-                made = Block(-1 - next(fresh))
-                parts: list[Word] = []
-                numbers = made.numbers(inner, found).tolist()
-                for w, s, e in zip(words, begins.tolist(), ends.tolist()):
-                    if s >= low and e <= high:
-                        parts.append(found[w])
-                    elif e > low and s < high:
-                        parts.append(tools.part(w, low - s, high - s))
-                        numbers.append(made.number_of(parts[-1]))
-                ok = all(p.ok for p in parts)
-                whole = compose(_runs(parts))
-                used = np.array(numbers, np.uint32)
-                if ok:
-                    made.used.append(used)
+                made = Block(-1 - next(fresh), tools, [[w for w, i in zip(words, inner) if i]])
+                # At most one word at either end belongs to the range in part.
+                parts = [tools.part(words[i], low - int(begins[i]), high - int(begins[i]))
+                         for i in np.flatnonzero(~inner & (ends > low) & (begins < high))]
+                ok = made.spelt(0) and None not in parts
+                entry = {"kind": 2, "block": made.number, "row": row.as_py(), "id": doc.as_py(), "k": k.as_py(), "ok": ok}
+                if not ok:
+                    entry |= {"groups": 0, "cuts": False, "head": "|", "body": "", "tail": "|", "words": b""}
+                    made.left_out(0)
+                    made.rows.append(entry)
+                    yield made.finished()
+                    continue
+                used, counted = made.used[0], made.counted(0)
+                middle = closed(made.joined(used), counted["n_links"]) if len(used) else Fragment()
+                before = [p[2] for p in parts[:1]] if len(parts) and not inner[0] and ends[0] > low else []
+                after = [p[2] for p in parts[len(before):]]
+                whole = compose([*before, middle, *after])
+                numbers = np.arange(len(parts)) + len(made.links)
                 made.rows.append({
-                    "kind": 2, "block": made.number, "row": row.as_py(), "id": doc.as_py(), "k": k.as_py(), "ok": ok,
-                    "n_a": sum(p.n_a for p in parts), "n_b": sum(p.n_b for p in parts),
-                    "n_links": sum(len(p.links) for p in parts), "groups": whole.groups, "cuts": whole.cuts,
-                    "head": whole.head, "body": whole.body, "tail": whole.tail, "words": used.astype("<u4").tobytes()})
-                yield made.finished(row.as_py())
+                    **entry, "n_a": counted["n_a"] + sum(p[0] for p in parts),
+                    "n_b": counted["n_b"] + sum(p[1] for p in parts),
+                    "n_links": counted["n_links"] + sum(len(p[3]) for p in parts),
+                    "groups": whole.groups, "cuts": whole.cuts, "head": whole.head, "body": whole.body,
+                    "tail": whole.tail, "words": np.concatenate([used, numbers]).astype("<u4").tobytes()})
+                yield made.finished(row.as_py(), [p[3] for p in parts])
 
     return ranges.mapInArrow(run, ALIGNED)
 
 
-def _runs(parts: list[Word]) -> Iterator[Fragment]:
-    """Fragments of the parts; runs of closed words are put together first."""
-    run: list[Word] = []
-    for p in parts:
-        if p.fragment.cuts and p.fragment.tail == "|" and p.text:
-            run.append(p)
-            continue
-        if run:
-            yield closed(";".join(w.text for w in run), sum(w.fragment.groups + 1 for w in run))
-            run = []
-        yield p.fragment
-    if run:
-        yield closed(";".join(w.text for w in run), sum(w.fragment.groups + 1 for w in run))
-
-
 def reduced(fragments: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """(row, ok, cuts, head, body, groups, tail): the fragments (row, k, ...) of each document
     composed in order, ``fan_in`` at a time and level by level."""
@@ -491,7 +561,7 @@ def _sums(rows: DataFrame, blocks: DataFrame) -> DataFrame:
     return rows.select("block", "words", *kept).groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(run, schema)
 
 
-def align_documents(docs: DataFrame, files: tuple[str, str] | None = None, id_col: str = "doc_id",
+def align_documents(docs: DataFrame, files: tuple[str, ...] | None = None, id_col: str = "doc_id",
                     text_col: str = "text", chunk: int = CHUNK_BYTES, block_bytes: int = BLOCK_BYTES,
                     fan_in: int = FAN_IN) -> tuple[DataFrame, DataFrame]:
     """(documents, pairs): (id, n_a, n_b, n_groups, n_links, n_best, count_sum, hash) of every
