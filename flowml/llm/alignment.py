@@ -32,6 +32,7 @@ an empty table gives no rows; other columns are ignored; strings of special toke
 from __future__ import annotations
 
 import contextlib
+import functools
 import gc
 import hashlib
 import os
@@ -53,21 +54,22 @@ from flowml.session import drop_scratch, materialise
 #: Documents longer than this are aligned in byte ranges of about this length.
 CHUNK_BYTES = 65_536
 #: Bytes of text of a block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Fragments composed at once.
 FAN_IN = 8
 #: Words kept by a Python worker; they have at most so many bytes and occur so often in a block.
-CACHE_WORDS, CACHE_LENGTH, CACHE_SEEN = 100_000, 64, 3
+CACHE_WORDS, CACHE_LENGTH, CACHE_SEEN = 60_000, 64, 3
 #: Words encoded together.
-SLICE_WORDS = 20_000
+SLICE_WORDS = 10_000
 #: A pair of ids is a << ID_BITS | b.
 ID_BITS = 24
 
 # A space between visible characters: ASCII, or a Latin letter of two UTF-8 bytes.
 _SEEN = rb"(?:(?<=[!-~])|(?<=\xc3[\x80-\xbf]))"
 _SPLIT = re.compile(_SEEN + rb"(?= [!-~\xc3])")
-# Characters whose class no two libraries see differently.
-_PLAIN = re.compile(r" [!-~\u00c0-\u00ff]+").fullmatch
+# Characters whose classes (letter, number, space) no two libraries see differently.
+_PLAIN = re.compile("[\t\n -~\u00a1-\u024f\u0391-\u03a1\u03a3-\u03c9\u0410-\u044f\u2010-\u2027\u2030-\u205e"
+                    "\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]+").fullmatch
 
 
 @dataclass(frozen=True)
@@ -163,36 +165,39 @@ class Aligner:
 
     file_a: str
     file_b: str
-    ranks: str | None = None
+    ranks: str
     cache: dict[bytes, Word | None] = field(default_factory=dict)
 
     def __post_init__(self):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(self.file_a)
-        self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=self.file_b)
-        self.bytes_a = _entries(self.a)
+        self.fast, self.bytes_a = _ranked(self.ranks)
         self.bytes_b = [_piece(self.b, i) for i in range(self.b.get_piece_size())]
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
-        self.name_a, self.name_b = list(map(str, range(len(self.bytes_a)))), list(map(str, range(len(self.bytes_b))))
-        self.fast = _ranked(self.ranks) if self.ranks else None
+        self.names = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
+
+    @functools.cached_property
+    def a(self):
+        """A's own file, loaded when the first text needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.file_a)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
 
     def ids(self, words: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of words under A and B, each word encoded on its own."""
         if not words:
             return [], []
         texts = [w.decode("utf-8", "replace") for w in words]
-        if self.fast:
-            # The same vocabulary in the faster library.
-            found_a = [self.fast(t) if _PLAIN(t) else None for t in texts]
-            others = [i for i, f in enumerate(found_a) if f is None]
-        else:
-            found_a, others = [None] * len(texts), list(range(len(texts)))
-        for i, e in zip(others, self.a.encode_batch([texts[i] for i in others], add_special_tokens=False)):
-            found_a[i] = e.ids
+        # The ranks hold the same vocabulary for a faster library.
+        found_a = [self.fast(t) if _PLAIN(t) else None for t in texts]
+        others = [i for i, f in enumerate(found_a) if f is None]
+        if others:
+            for i, e in zip(others, self.a.encode_batch([texts[i] for i in others], add_special_tokens=False)):
+                found_a[i] = e.ids
         # Every word starts with the space that B adds by itself.
         return found_a, self.b.encode([t[1:] for t in texts], num_threads=1)
 
@@ -229,7 +234,7 @@ class Aligner:
         end_a, end_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
         _, at_a, at_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
         links = (flat_a[at_a] << ID_BITS | flat_b[at_b]).tolist()
-        name_a, name_b = (list(map(n.__getitem__, f.tolist())) for n, f in ((self.name_a, flat_a), (self.name_b, flat_b)))
+        name_a, name_b = (list(map(self.names.__getitem__, f.tolist())) for f in (flat_a, flat_b))
         to_a, to_b = (at_a + 1).tolist(), (at_b + 1).tolist()
         groups = [f"{name_a[i]}|{name_b[m]}" if j - i == n - m == 1 else ",".join(name_a[i:j]) + "|" + ",".join(name_b[m:n])
                   for i, j, m, n in zip([0, *to_a], to_a, [0, *to_b], to_b)]
@@ -271,25 +276,13 @@ def _within(ids: list[int], ends: list[int], low: int, high: int) -> tuple[list[
     return [ids[i] for i in keep], [ends[i] for i in keep]
 
 
-def _entries(tokenizer) -> list[bytes]:
-    """Bytes of every id of a byte-level vocabulary: each byte is written as one visible character."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    written = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
-    out = [b""] * (max(vocabulary.values()) + 1)
-    for entry, i in vocabulary.items():
-        out[i] = bytes(written.get(c, 0x3F) for c in entry)
-    return out
-
-
 def _piece(processor, i: int) -> bytes:
     piece = processor.id_to_piece(i)
     return bytes([int(piece[3:5], 16)]) if processor.is_byte(i) else piece.replace("▁", " ").encode()
 
 
 def _ranked(file: str):
-    """Ids of a text by the merge ranks of the same vocabulary."""
+    """(encoding function, bytes of every id) of a file of merge ranks."""
     import base64
 
     import public_tokenizers
@@ -297,8 +290,11 @@ def _ranked(file: str):
 
     with open(file, "rb") as lines:
         ranks = {base64.b64decode(x): int(i) for x, i in map(bytes.split, lines)}
+    entries = [b""] * (max(ranks.values()) + 1)
+    for entry, i in ranks.items():
+        entries[i] = entry
     return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={}).encode_ordinary
+                             special_tokens={}).encode_ordinary, entries
 
 
 _aligners: dict[tuple, Aligner] = {}
