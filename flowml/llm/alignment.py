@@ -343,6 +343,18 @@ _ARROW = pa.schema([pa.field(n, {"int": pa.int32(), "long": pa.int64(), "boolean
                     for n, t in (f.split(" ") for f in ALIGNED.split(", "))])
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers (their order does not matter) as differences of two bytes, or four where one is large;
+    the first byte says which."""
+    gaps = np.diff(np.sort(numbers), prepend=0)
+    width = 2 if not len(gaps) or gaps.max() < 1 << 16 else 4
+    return bytes([width]) + gaps.astype(f"<u{width}").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, f"<u{data[0]}", offset=1), dtype=np.int64)
+
+
 class Block:
     """Documents or ranges whose words are numbered together."""
 
@@ -371,7 +383,7 @@ class Block:
     def counted(self, i: int) -> dict:
         used = self.used[i]
         return {"n_a": int(self.n_a[used].sum()), "n_b": int(self.n_b[used].sum()),
-                "n_links": int(self.n_links[used].sum()), "words": used.astype("<u4").tobytes()}
+                "n_links": int(self.n_links[used].sum()), "words": packed(used)}
 
     def joined(self, used: np.ndarray) -> str:
         return ";".join(map(self.text.__getitem__, used.tolist()))
@@ -468,7 +480,7 @@ def _range_fragments(ranges: DataFrame, files: tuple[str, ...]) -> DataFrame:
                 ok = made.spelt(0) and None not in parts
                 entry = {"kind": 2, "block": made.number, "row": row.as_py(), "id": doc.as_py(), "k": k.as_py(), "ok": ok}
                 if not ok:
-                    entry |= {"groups": 0, "cuts": False, "head": "|", "body": "", "tail": "|", "words": b""}
+                    entry |= {"groups": 0, "cuts": False, "head": "|", "body": "", "tail": "|", "words": packed(np.zeros(0, np.int64))}
                     made.left_out(0)
                     made.rows.append(entry)
                     yield made.finished()
@@ -484,7 +496,7 @@ def _range_fragments(ranges: DataFrame, files: tuple[str, ...]) -> DataFrame:
                     "n_b": counted["n_b"] + sum(p[1] for p in parts),
                     "n_links": counted["n_links"] + sum(len(p[3]) for p in parts),
                     "groups": whole.groups, "cuts": whole.cuts, "head": whole.head, "body": whole.body,
-                    "tail": whole.tail, "words": np.concatenate([used, numbers]).astype("<u4").tobytes()})
+                    "tail": whole.tail, "words": packed(np.concatenate([used, numbers]))})
                 yield made.finished(row.as_py(), [p[3] for p in parts])
 
     return ranges.mapInArrow(run, ALIGNED)
@@ -547,7 +559,7 @@ def _sums(rows: DataFrame, blocks: DataFrame) -> DataFrame:
 
             best_of, count_of = by_word("best"), by_word("total")
             for words in left.column("words").to_pylist():
-                used = np.frombuffer(words, "<u4")
+                used = unpacked(words)
                 best.append(int(best_of[used].sum()))
                 count.append(int(count_of[used].sum()))
         else:

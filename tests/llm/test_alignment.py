@@ -138,3 +138,8 @@ def test_ranges_cover_and_read_a_word_twice_at_most():
         assert [g[0] for g in got] == [0, *[g[1] for g in got[:-1]]] and got[-1][1] == len(data)
         assert all(at <= low < high <= to for low, high, at, to in got)
         assert sum(to - at for _, _, at, to in got) <= 3 * len(data)
+
+
+def test_packed_numbers():
+    for numbers in ([], [5], [0, 0, 7, 7], [70_000, 3, 70_000], list(range(1000))):
+        assert al.unpacked(al.packed(np.array(numbers, np.int64))).tolist() == sorted(numbers)
