@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +46,65 @@ def keep_rows(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFr
     """Rows of ``docs`` whose id is in ``ids`` (a null id matches a null id); columns unchanged."""
     chosen = ids.select(F.col(id_col).alias("__keep"))
     return docs.join(chosen, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
+
+
+class IdBits:
+    """Bits of hashed ids, broadcast: finds the rows of given ids where they lie, without a shuffle.
+
+    All rows of the ids pass, and a few others (about one in ``per_id``). The number of bits
+    follows the number of ids up to ``most`` (32 MB); beyond that more others pass, so it only
+    ever saves work.
+    """
+
+    def __init__(self, ids: DataFrame, col: str = "id", per_id: int = 16, most: int = 1 << 28):
+        self.size = min(most, 1 << max(10, (per_id * ids.count()).bit_length()))
+        bits = ids.select(self.place(col).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("bits")).toPandas()
+        words = np.zeros(self.size // 64, np.uint64)
+        words[bits["word"].to_numpy().astype(np.int64)] = bits["bits"].to_numpy().astype(np.int64).view(np.uint64)
+        self.words = ids.sparkSession.sparkContext.broadcast(words)
+
+    def place(self, col: str) -> Column:
+        return F.pmod(F.xxhash64(col), F.lit(self.size))
+
+    @staticmethod
+    def mask(words: np.ndarray, places: pa.Array) -> pa.Array:
+        """Which of the rows pass; ``words`` is the broadcast value, so that tasks carry nothing else."""
+        h = places.to_numpy()
+        return pa.array((words[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+
+def sorted_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """The groups of equal ``key`` (a long) of a partition that is sorted by it, one at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(batch.schema.names.index(key)).to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for low, high in zip(cuts, cuts[1:]):
+            part = batch.slice(low, high - low)
+            if held and held[0].column(key)[0].as_py() != int(keys[low]):
+                yield _one(held)
+                held = []
+            held.append(part)
+    if held:
+        yield _one(held)
+
+
+def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def gathered(batches: Iterable[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least ``rows``, so that many small results cost little."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            yield _one(held)
+            held, n = [], 0
+    if held:
+        yield _one(held)

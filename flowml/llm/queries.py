@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from flowml.llm import (alignment, exact_dedup, jaccard, langid, lm_scoring, mixing, packing, quality, secrets, topk,
-                        vector_codes, warc)
+from flowml.llm import (alignment, exact_dedup, jaccard, langid, lm_scoring, minhash, mixing, packing, quality,
+                        secrets, topk, vector_codes, warc)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_best_two_fit": packing.op8_best_two_fit,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_warc_revisits": warc.op10_warc_revisits,
+    "op11_minhash": minhash.op11_minhash,
     "op12_vector_codes": vector_codes.op12_vector_codes,
     "op13_token_alignment": alignment.op13_token_alignment,
 }
