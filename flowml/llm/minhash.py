@@ -12,11 +12,11 @@
 
 No bucket is paired up. First every point meets its bucket's *centre* only, the point nearest to
 the most frequent byte of each place; the best pairs of every point are verified, and copies of
-one text, even millions, become one component. Buckets that still hold several
-components are then compared across components: the points outside the bucket's largest one
-against all. A bucket too large for a task is first split by a second band (a link shares
-some second bucket as it shares the first), and what is still too large goes block by block,
-so no size is left out and no pair is skipped.
+one text, even millions, become one component. Buckets that still hold several components are
+then compared across components: the points outside the bucket's largest one against all, as
+long as their best candidates bring new links, then once more with all candidates. A bucket
+too large for a task is first split by a second band, and what is still too large goes block by
+block, so no size is left out and no pair is skipped.
 
 Defined results: null text, and text without words, is the empty set, linked with nothing; a
 text of fewer than four words has its whole sequence as its one shingle; a row with a null id is
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from flowml.llm.common import IdBits, attach_by_key, gathered, sorted_groups, table
 from flowml.llm.graph import components
-from flowml.llm.jaccard import id_links, shingles
+from flowml.llm.jaccard import id_links, may_link, shingles, sketch
 from flowml.session import drop_scratch, materialise
 
 WORDS = 4
@@ -49,7 +49,7 @@ PLACES = BANDS * ROWS
 #: Places in which the signatures of a candidate agree: five standard deviations below the mean of a pair at the threshold.
 LEAST = 195
 #: Points of a bucket that one task compares; points that one pivot is verified with at a time.
-LIST_POINTS, PIVOT_POINTS = 2_048, 512
+LIST_POINTS, PIVOT_POINTS = 1_024, 512
 #: Buckets up to this size are compared whole at once.
 FEW = 16
 _SLICE = 1 << 18
@@ -83,11 +83,11 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(id, n, set_id, sign, bands) of (id, text) documents."""
+    """(id, n, set_id, sign, bands, sketch) of (id, text) documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _hash_family()
         for batch in batches:
-            sizes, sets, signs, bands = [], [], [], []
+            sizes, sets, signs, bands, sketches = [], [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py(), WORDS)
                 sizes.append(len(found))
@@ -95,12 +95,13 @@ def described(docs: DataFrame) -> DataFrame:
                 sets.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 signs.append(least.astype(np.uint8).tobytes() if len(found) else None)
                 bands.append(band_keys(least) if len(found) else None)
+                sketches.append(sketch(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()),
-                 pa.array(signs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["id", "n", "set_id", "sign", "bands"])
+                 pa.array(signs, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                names=["id", "n", "set_id", "sign", "bands", "sketch"])
 
-    return docs.mapInArrow(run, "id long, n long, set_id binary, sign binary, bands array<long>")
+    return docs.mapInArrow(run, "id long, n long, set_id binary, sign binary, bands array<long>, sketch binary")
 
 
 def _signs(column: pa.Array) -> np.ndarray:
@@ -201,54 +202,90 @@ def nearest_centres(lists: DataFrame, signs: DataFrame, size: int = LIST_POINTS)
     return pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def across(lists: DataFrame, labels: DataFrame, signs: DataFrame, bands: DataFrame, size: int = LIST_POINTS,
-           level: int = 0) -> DataFrame | None:
-    """Candidates (u, v) of different components that share a bucket of ``lists`` (s, u)."""
+def mixed_buckets(lists: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """(s, u, g, c, main, most): the points of buckets that hold several components g, with the
+    bucket's size, its largest component and that one's size; None if there are none."""
     named = materialise(lists.select("s", "u").join(labels, "u", "left")
                         .select("s", "u", F.coalesce("root", "u").alias("g")), "named")
     facts = materialise(
         named.groupBy("s", "g").agg(F.count(F.lit(1)).alias("n")).groupBy("s").agg(
             F.sum("n").alias("c"), F.count(F.lit(1)).alias("gs"), F.max(F.struct("n", "g"))["g"].alias("main"),
             F.max("n").alias("most")).where("gs > 1").drop("gs"), "mixed")
-    if not facts.head(1):
-        return None
-    mixed = materialise(attach_by_key(named, facts, "s", "c"), "mixed-points")
+    out = materialise(attach_by_key(named, facts, "s", "c"), "mixed-points") if facts.head(1) else None
     drop_scratch(lists.sparkSession, named)
+    return out
+
+
+def second_bands(large: DataFrame, bands: DataFrame) -> DataFrame:
+    """(s, u): the buckets split by every other band: a link shares some second bucket as it
+    shares the first, what shares one by chance or by a common passage seldom does."""
+    return materialise(large.select("s", "u").join(bands.select("u", F.explode("bands").alias("s2")), "u")
+                       .where("s <> s2").select(F.xxhash64("s", "s2").alias("s"), "u"), "second-bands")
+
+
+def across(mixed: DataFrame, labels: DataFrame, signs: DataFrame, bands: DataFrame, size: int, best: bool,
+           level: int = 0) -> DataFrame:
+    """Candidates (u, v) of different components that share a bucket.
+
+    The points outside the bucket's largest component, in blocks, meet all its points, in
+    blocks. A pair is a candidate if the signatures agree in ``LEAST`` places and the sketches
+    (an exact bound) allow a link. ``best``: of the candidates of a point only the best, and the best in the
+    largest component.
+    """
     large = F.col("c") > size
     rest = None
     if level == 0 and mixed.where(large).head(1):
-        # A second band splits what shares the first by chance or by one common passage.
-        second = mixed.where(large).select("s", "u").join(bands.select("u", F.explode("bands").alias("s2")), "u") \
-            .where("s <> s2").select(F.xxhash64("s", "s2").alias("s"), "u")
-        rest = across(materialise(second, "second-band"), labels, signs, bands, size, level + 1)
+        inner = mixed_buckets(second_bands(mixed.where(large), bands), labels)
+        rest = None if inner is None else across(inner, labels, signs, bands, size, best, 1)
         mixed = mixed.where(~large)
-    # The points outside the largest component, in blocks, against all points, in blocks.
     few = F.ceil((F.col("c") - F.col("most")) / F.lit(size))
     all_ = F.ceil(F.col("c") / F.lit(size))
     mixed = mixed.join(signs, "u")
+    carried = ["u", "g", "main", "sign", "n", "sketch"]
     left = mixed.where(F.col("g") != F.col("main")).select(
         "s", F.pmod(F.xxhash64("u", F.lit("few")), few).alias("i"),
-        F.explode(F.sequence(F.lit(0).cast("long"), all_ - 1)).alias("j"), F.lit(0).alias("side"), "u", "g", "sign")
+        F.explode(F.sequence(F.lit(0).cast("long"), all_ - 1)).alias("j"), F.lit(0).alias("side"), *carried)
     right = mixed.select(
         "s", F.explode(F.sequence(F.lit(0).cast("long"), few - 1)).alias("i"),
-        F.pmod(F.xxhash64("u", F.lit("all")), all_).alias("j"), F.lit(1).alias("side"), "u", "g", "sign")
+        F.pmod(F.xxhash64("u", F.lit("all")), all_).alias("j"), F.lit(1).alias("side"), *carried)
 
     def run(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        side, u, g = (group.column(c).to_numpy() for c in ("side", "u", "g"))
-        sign = _signs(group.column("sign"))
+        side, u, g, main, n = (group.column(c).to_numpy() for c in ("side", "u", "g", "main", "n"))
+        sign, sketches = _signs(group.column("sign")), group.column("sketch").to_pylist()
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         step = max(1, (1 << 22) // max(1, len(b)))
         for at in range(0, len(a), step):
             mine = a[at:at + step]
-            i, j = np.nonzero((agreement(sign[mine], sign[b]) >= LEAST) & (g[mine][:, None] != g[b][None]))
+            near = agreement(sign[mine], sign[b])
+            i, j = np.nonzero((near >= LEAST) & (g[mine][:, None] != g[b][None]))
+            keep = allowed(sketches, n, mine[i], b[j])
+            i, j = i[keep], j[keep]
+            if best:
+                pick = []
+                for chosen in (np.arange(len(i)), np.flatnonzero(g[b[j]] == main[0])):
+                    order = chosen[np.lexsort((u[b[j[chosen]]], -near[i[chosen], j[chosen]], i[chosen]))]
+                    pick.append(order[np.concatenate([[True], np.diff(i[order]) != 0])[:len(order)]])
+                pick = np.unique(np.concatenate(pick))
+                i, j = i[pick], j[pick]
             x, y = u[mine][i], u[b][j]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["u", "v"])
 
-    both = left.unionByName(right).select(F.xxhash64("s", "i", "j").alias("part"), "side", "u", "g", "sign")
+    both = left.unionByName(right).select(F.xxhash64("s", "i", "j").alias("part"), "side", *carried)
     found = _in_tasks(both, run, "u long, v long").distinct()
     return found if rest is None else found.unionByName(rest).distinct()
 
 
+def allowed(sketches: list[bytes], n: np.ndarray, x: np.ndarray, y: np.ndarray, step: int = 8_192) -> np.ndarray:
+    """May the sets at x and y be linked? (Sketches bound their difference from below.)"""
+    out = np.zeros(len(x), bool)
+    for at in range(0, len(x), step):
+        i, j = x[at:at + step], y[at:at + step]
+        one, two = (np.frombuffer(b"".join(map(sketches.__getitem__, k.tolist())), np.uint8).reshape(len(k), -1)
+                    .astype(np.int16) for k in (i, j))
+        out[at:at + step] = may_link(np.abs(one - two).sum(1, dtype=np.int64), n[i], n[j])
+    return out
+
+
 def verified(docs: DataFrame, pairs: DataFrame, size: int = PIVOT_POINTS) -> DataFrame:
     """The pairs (u, v) of ``pairs`` whose full sets are linked.
 
@@ -321,18 +358,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialise(described(docs), "minhashed")
     usable = rows.where("n > 0 and id is not null")
     groups = materialise(usable.groupBy("set_id").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("sign").alias("sign"),
-        F.first("bands").alias("bands")), "sets")
-    points = groups.select(F.col("rep").alias("u"), "set_id", "sign", "bands")
-    signs = points.select("u", "sign")
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"),
+        *[F.first(c).alias(c) for c in ("n", "sign", "bands", "sketch")]), "sets")
+    points = groups.select(F.col("rep").alias("u"), "set_id", "bands")
+    signs, bands = groups.select(F.col("rep").alias("u"), "sign", "n", "sketch"), points.select("u", "bands")
     lists = shared_buckets(points)
-    pairs = materialise(nearest_centres(lists, signs, size), "centre-pairs")
-    links = verified(docs, pairs)
-    labels = materialise(components(links).select(F.col("node").alias("u"), "root"), "labels")
-    more = across(lists, labels, signs, points.select("u", "bands"), size)
-    if more is not None:
-        more = materialise(more.join(pairs, ["u", "v"], "left_anti"), "cross-pairs")
-        links = links.unionByName(verified(docs, more))
+    tested = materialise(nearest_centres(lists, signs.select("u", "sign"), size), "centre-pairs")
+    links, best = verified(docs, tested), True
+    while True:
+        labels = materialise(components(links).select(F.col("node").alias("u"), "root"), "labels")
+        lists = mixed_buckets(lists, labels)
+        if lists is None:
+            break
+        # Best candidates as long as they bring links, so that components grow together; then all.
+        more = materialise(across(lists, labels, signs, bands, size, best)
+                           .join(tested, ["u", "v"], "left_anti"), "cross-pairs")
+        found = verified(docs, more)
+        links, tested = links.unionByName(found), tested.unionByName(more)
+        if not best:
+            break
+        best = bool(found.head(1))
     # Rows of one id are one node: its sets are linked, and all carry the smallest of its component.
     names = groups.select("set_id", "rep", "copies")
     found = materialise(components(links.unionByName(id_links(usable, names))), "components")
@@ -340,7 +385,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         .select("set_id", "copies", F.coalesce("root", "rep").alias("component_id")), "set-components")
     named = attach_by_key(usable.select("id", "n", "set_id"), facts, "set_id", "copies").select("id", "n", "component_id")
     alone = rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component_id"))
-    drop_scratch(docs.sparkSession, lists)
     return named.unionByName(alone).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
