@@ -15,8 +15,8 @@ the most frequent byte of each place; the best pairs of every point are verified
 one text, even millions, become one component. Buckets that still hold several components are
 then compared across components: the points outside the bucket's largest one against all, as
 long as their best candidates bring new links, then once more with all candidates. A bucket
-too large for a task is first split by a second band, and what is still too large goes block by
-block, so no size is left out and no pair is skipped.
+too large for a task is split by a second band if it holds no large component, or else goes block
+by block, so no size is left out and no pair is skipped.
 
 Defined results: null text, and text without words, is the empty set, linked with nothing; a
 text of fewer than four words has its whole sequence as its one shingle; a row with a null id is
@@ -49,7 +49,7 @@ PLACES = BANDS * ROWS
 #: Places in which the signatures of a candidate agree: five standard deviations below the mean of a pair at the threshold.
 LEAST = 195
 #: Points of a bucket that one task compares; points that one pivot is verified with at a time.
-LIST_POINTS, PIVOT_POINTS = 1_024, 512
+LIST_POINTS, PIVOT_POINTS = 4_096, 512
 #: Buckets up to this size are compared whole at once.
 FEW = 16
 _SLICE = 1 << 18
@@ -232,7 +232,9 @@ def across(mixed: DataFrame, labels: DataFrame, signs: DataFrame, bands: DataFra
     (an exact bound) allow a link. ``best``: of the candidates of a point only the best, and the best in the
     largest component.
     """
-    large = F.col("c") > size
+    # Points that share a bucket by chance or by a common passage are of many components; a bucket
+    # with one large component is a family, which a second band would not split.
+    large = (F.col("c") > size) & (2 * F.col("most") < F.col("c"))
     rest = None
     if level == 0 and mixed.where(large).head(1):
         inner = mixed_buckets(second_bands(mixed.where(large), bands), labels)
