@@ -22,20 +22,27 @@ from flowml.operators.features import assembler, encoder
 from flowml.schema import MLP_HIDDEN, PROFILES, TREE_PARAMS, Profile
 
 KINDS = ("tree", "forest", "bayes", "mlp")
+#: Training rows of a partition, on average.
+ROWS_PER_PARTITION = 25_000
 
 
-def _training_set(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def _training_set(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Persist the training set once, in a layout that depends on the rows alone.
 
-    Rows go to ``partitions`` partitions (default: the session's shuffle partitions) by a
-    hash of their columns and are sorted inside, so neither the core count nor the order in
-    which the input was read changes the fitted model.
+    Rows go to as many partitions as their number asks for, by a hash of their columns, and
+    are sorted inside: neither the core count, nor a session setting, nor the order in which
+    the input was read changes the fitted model. Learners make one pass of all partitions per
+    level or iteration, so small partitions cost more than they save.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = max(1, -(-kept.count() // rows_per_partition))
     place = F.xxhash64(*[c if not isinstance(df.schema[c].dataType, VectorUDT) else vector_to_array(c)
                          for c in df.columns])
-    return (df.withColumn("_place", place).repartition(n, "_place").sortWithinPartitions("_place")
-            .drop("_place").persist(StorageLevel.MEMORY_AND_DISK))
+    placed = (kept.withColumn("_place", place).repartition(n, "_place").sortWithinPartitions("_place")
+              .drop("_place").persist(StorageLevel.MEMORY_AND_DISK))
+    placed.count()
+    kept.unpersist()
+    return placed
 
 
 def _memory_mb(text: str | None, default_mb: int = 1024) -> int:
@@ -88,8 +95,9 @@ def classifier(kind: str, label: str = "attack_cat_index", features: str = "feat
 
 
 def train(kind: str, df: DataFrame, label: str = "attack_cat_index", features: str = "features",
-          n_classes: int | None = None, persist: bool = True, partitions: int | None = None, **params):
-    """H1-H4: fit a classifier on an assembled frame. ``partitions``: see ``_training_set``."""
+          n_classes: int | None = None, persist: bool = True, rows_per_partition: int = ROWS_PER_PARTITION,
+          **params):
+    """H1-H4: fit a classifier on an assembled frame. ``rows_per_partition``: see ``_training_set``."""
     n_features = None
     if kind == "mlp":
         n_features = len(df.select(features).first()[0])
@@ -98,7 +106,7 @@ def train(kind: str, df: DataFrame, label: str = "attack_cat_index", features: s
     est = classifier(kind, label, features, n_features=n_features, n_classes=n_classes, **params)
     data = df.select(label, features)
     if persist:
-        data = _training_set(data, partitions)
+        data = _training_set(data, rows_per_partition)
     try:
         return est.fit(data)
     finally:

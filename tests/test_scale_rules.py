@@ -73,7 +73,7 @@ def test_confusion_matrix_keeps_unlisted_predictions(spark):
 def test_forest_does_not_depend_on_layout(spark):
     df = features.assemble(points(spark, {0: 300, 1: 200, 2: 100}, dims=4), [f"x{i}" for i in range(4)]) \
         .withColumn("label", F.col("label").cast("double"))
-    a, b = (models.train("forest", d, label="label", numTrees=3, maxDepth=6, partitions=4)
+    a, b = (models.train("forest", d, label="label", numTrees=3, maxDepth=6, rows_per_partition=200)
             for d in (df.repartition(1), df.orderBy("x0").repartition(7)))
     assert a.toDebugString.split("\n", 1)[1] == b.toDebugString.split("\n", 1)[1]
 
@@ -140,3 +140,27 @@ def test_rank_flag_matches_a_plain_rank(spark):
     quotas = sampling.literal_table(spark, "g int, quota long", [(0, 10), (1, 0), (2, 1000)])
     got = sampling.rank_flag(df, "g", quotas, "id", 7).groupBy("g").agg(F.count_if("below").alias("n"), F.count("id").alias("m"))
     assert {r.g: (r.n, r.m) for r in got.collect()} == {0: (10, 167), 1: (0, 167), 2: (166, 166)}
+
+
+def test_model_does_not_follow_session_settings(spark):
+    rows = [(float(i % 3), float(i % 17), float((i * 7) % 23)) for i in range(600)]
+    data = features.assemble(spark.createDataFrame(rows, "label double, a double, b double"), ["a", "b"])
+    before, texts = spark.conf.get("spark.sql.shuffle.partitions"), set()
+    try:
+        for n in ("8", "16", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            model = models.train("forest", data.repartition(int(n) // 4), label="label", numTrees=3, maxDepth=8)
+            texts.add(model.toDebugString.split("\n", 1)[1])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(texts) == 1
+
+
+def test_every_line_is_parsed_once(spark):
+    from flowml.sources.flows import parse_csv_strict
+    lines = spark.createDataFrame([("1,a,2.5",), ("x,a,1",), ("",), ("3,b",)], "value string")
+    good, bad = parse_csv_strict(lines, "n int, s string, d double")
+    plan = good.where("n > 0").select("d")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv") == 1
+    assert [tuple(r) for r in good.collect()] == [(1, "a", 2.5)]
+    assert sorted(r.line for r in bad.collect()) == ["3,b", "x,a,1"]
