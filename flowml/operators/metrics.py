@@ -163,14 +163,20 @@ def _overall(stats: DataFrame) -> DataFrame:
 
 
 def evaluation_report(df: DataFrame, classes: Sequence[float], label: str = "label",
-                      pred: str = "prediction") -> DataFrame:
+                      pred: str = "prediction", names: Sequence[str] | None = None) -> DataFrame:
     """Per-class rates of the listed classes with the overall metrics on every row.
 
+    ``names``: the classes' names, in the order of ``classes``; they become the column ``name``.
+
     The overall metrics cover every row of ``df``, also those whose label is not listed:
     they are :func:`overall_metrics`, computed from the same (label, prediction) counts.
     """
     stats = _class_stats(pair_counts(df, label, pred))
     total = _overall(stats).withColumnRenamed("f1", "weighted_f1")
+    rates = _rates(stats, classes)
+    if names is not None:
+        pairs = [F.lit(x) for c, n in zip(classes, names, strict=True) for x in (float(c), n)]
+        rates = rates.withColumn("name", F.create_map(*pairs)[F.col("label")])
     # One row: attached by a broadcast join on a constant.
-    return _rates(stats, classes).withColumn("_one", F.lit(1)).join(
+    return rates.withColumn("_one", F.lit(1)).join(
         F.broadcast(total.withColumn("_one", F.lit(1))), "_one", "left").drop("_one")

@@ -508,6 +508,19 @@ def q_knn_cells(spark, sf):
     return _knn(spark, emb, [0])
 
 
+# Few different points, each held by very many events: answers are ties broken by key.
+_COPIES_SQL = f"""SELECT {I._sql_event_class()} AS label, event_id AS vec_id,
+  [CAST(user_id % 5 AS DOUBLE), CAST(user_id % 3 - {_K} % 2 AS DOUBLE)] AS x FROM events"""
+
+
+@query("knn_copies", _knn_sql(_COPIES_SQL))
+def q_knn_copies(spark, sf):
+    flows = I.flows_from_events(I.table(spark, sf, "events"))
+    pts = flows.select(I.event_class("proto").alias("label"), F.col("event_id").alias("vec_id"), F.array(
+        (F.col("sport") % 5).cast("double"), (F.col("sport") % 3 - F.col("dsport") % 2).cast("double")).alias("x"))
+    return _knn(spark, pts, range(len(I.EVENT_CLASSES)))
+
+
 @query("smote_histogram", _SMOTE_SQL + """
 SELECT label, count(*) AS n FROM (SELECT label FROM pts UNION ALL SELECT label FROM syn)
 GROUP BY label""")
@@ -612,7 +625,7 @@ FROM f, o WHERE cls IN ({", ".join(str(float(c)) for c in classes)})"""
 
 
 def _rounded(report):
-    return report.select(*[r6(F.col(c)).alias(c) if c not in ("label", "support") else F.col(c)
+    return report.select(*[r6(F.col(c)).alias(c) if c not in ("label", "support", "name") else F.col(c)
                            for c in report.columns])
 
 
@@ -660,6 +673,86 @@ def q_mlp_report(spark, sf):
     return _report(spark, _embedding_frame(spark, sf), "mlp")
 
 
+# Predictions of the learners against the same models read back as tables and scored in SQL
+# expressions, row by row; ``better``: more rows are right than by always naming the largest class.
+def _model_path(spark, model):
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    return path
+
+
+def _compared(spark, frame, kind, columns, array="x", **params):
+    from flowml.operators import model_tables as M
+    from flowml.operators.models import train
+    frame = materialise(frame, "report-input")
+    classes = int(frame.agg(F.max("label")).first()[0]) + 1
+    model = train(kind, frame, label="label", n_classes=classes, **params)
+    path = _model_path(spark, model)
+    scored = model.transform(features.vector_as_array(frame.withColumn(array, F.col("features")), array))
+    if kind == "mlp":
+        got = M.with_dense_prediction(scored, M.dense_layers(spark, path), array, "table")
+    else:
+        got = M.with_tree_prediction(scored, M.tree_nodes(spark, path), array, "table")
+    right = frame.groupBy("label").count().agg(F.max("count")).first()[0]
+    better = scored.where("label = prediction").count() > right
+    return got.select(*columns, (F.col("prediction") == F.col("table")).alias("same"), F.lit(better).alias("better"))
+
+
+_TABLE_SQL = "SELECT CAST(vec_id AS VARCHAR) AS key, CAST(label AS DOUBLE) AS label, true AS same, true AS better FROM embeddings"
+
+
+@query("tree_table", _TABLE_SQL)
+def q_tree_table(spark, sf):
+    return _compared(spark, _embedding_frame(spark, sf), "tree", ["key", "label"])
+
+
+@query("forest_table", _TABLE_SQL)
+def q_forest_table(spark, sf):
+    return _compared(spark, _embedding_frame(spark, sf), "forest", ["key", "label"])
+
+
+@query("mlp_table", _TABLE_SQL)
+def q_mlp_table(spark, sf):
+    return _compared(spark, _embedding_frame(spark, sf), "mlp", ["key", "label"])
+
+
+@query("argus_tree", f"""
+WITH {_index_sql("a", _RAW_ATTACK, _RAW_OK)}
+SELECT CAST(event_id AS INTEGER) AS sbytes, coalesce(a.i, (SELECT count(*) FROM a)) AS label,
+       true AS same, true AS better
+FROM events LEFT JOIN a ON a.v = {_RAW_ATTACK} WHERE {_RAW_OK}""")
+def q_argus_tree(spark, sf):
+    """A model of the wide profile: 16 features, categorical ones split by sets of categories."""
+    return _compared(spark, _argus_frame(spark, sf), "tree", ["sbytes", "label"])
+
+
+@query("argus_mlp", f"""
+WITH {_index_sql("a", _RAW_ATTACK, _RAW_OK)}
+SELECT CAST(event_id AS INTEGER) AS sbytes, coalesce(a.i, (SELECT count(*) FROM a)) AS label, true AS same
+FROM events LEFT JOIN a ON a.v = {_RAW_ATTACK} WHERE {_RAW_OK}""")
+def q_argus_mlp(spark, sf):
+    return _compared(spark, _argus_frame(spark, sf), "mlp", ["sbytes", "label"]).drop("better")
+
+
+def _argus_frame(spark, sf):
+    from flowml.schema import PROFILES
+    flows = clean.apply_profile(_raw_flows(spark, sf), "argus")
+    flows = materialise(flows, "argus-flows")
+    enc = features.encode(flows, features.fit_encoders(flows, list(PROFILES["argus"].strings)))
+    return features.assemble(enc, "argus").select("sbytes", F.col("attack_cat_index").alias("label"), "features")
+
+
+@query("report_named", f"WITH bp AS ({_bayes_predict_sql('label')}), rep AS (SELECT * FROM (WITH "
+       + _report_sql("SELECT * FROM bp", [0, 1, 2]).lstrip() + ")) "
+       "SELECT *, CASE label WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS name FROM rep")
+def q_report_named(spark, sf):
+    """The report with the names of its classes."""
+    data, model = _bayes_model(spark, sf)
+    report = metrics.evaluation_report(model.transform(data), [0.0, 1.0, 2.0], "label", "prediction",
+                                       names=["A", "N", "R"])
+    return _rounded(report)
+
+
 @query("bayes_report", f"WITH bp AS ({_bayes_predict_sql('label')}), "
        + _report_sql("SELECT * FROM bp", [0, 1, 2]).lstrip())
 def q_bayes_report(spark, sf):
@@ -705,7 +798,7 @@ def q_save_load_score(spark, sf):
     """Predictions of a pipeline before saving and after loading, compared row by row."""
     from flowml.operators.models import fit_flow_pipeline, load_pipeline, save_pipeline, score
     flows = I.flows_from_events(I.table(spark, sf, "events"))
-    model = fit_flow_pipeline(flows, "zeek", "forest", numTrees=5, maxDepth=10)
+    model = fit_flow_pipeline(flows, "zeek", "forest")
     loaded = load_pipeline(save_pipeline(model, scratch_path(spark, "flow-model")))
     before = score(flows, model).select("event_id", F.col("prediction").alias("before"))
     after = score(flows, loaded).select("event_id", "attack_cat_index", "prediction")
@@ -719,7 +812,7 @@ _BAD = "(event_id % 13 = 0 OR event_id % 29 = 0)"
 
 @query("score_stream", f"""
 WITH {_index_sql("pr", "event_type", _RAW_OK)}, {_index_sql("se", _RAW_SERVICE, _RAW_OK)}
-SELECT event_id AS msg_id, true AS named,
+SELECT event_id AS msg_id, true AS named, true AS same,
   CASE WHEN bad THEN 'No ataque' ELSE '10.0.' || (user_id % 256) || '.1' END AS srcip,
   CASE WHEN bad OR event_id % 17 = 0 THEN 0 ELSE CAST(user_id AS INTEGER) END AS sport,
   CASE WHEN bad THEN 'No ataque' ELSE '192.0.2.3' END AS dstip,
@@ -737,16 +830,18 @@ LEFT JOIN se ON se.v = {_RAW_SERVICE}""")
 def q_score_stream(spark, sf):
     """The connected workflow: balance raw flows, train a forest on the balanced table, save
     encoders and model, load both, score the message stream. ``named``: the prediction is one
-    of the known class names."""
+    of the known class names; ``same``: it is what the saved nodes, read as a table, say of the
+    alert's own columns."""
+    from flowml.operators import model_tables as M
     from flowml.plans.workflow import load_scoring_model, run_balance_job, run_train_job
-    from flowml.schema import class_map
+    from flowml.schema import PROFILES, class_map
     from flowml.sources.stream import message_stream
     from flowml.streaming.scoring import score_messages, start_scoring
     raw_dir = scratch_path(spark, "raw-flows")
     I.raw_flow_lines(I.table(spark, sf, "events")).write.mode("overwrite").text(raw_dir)
     encoders, clf = scratch_path(spark, "encoders"), scratch_path(spark, "classifier")
     table = run_balance_job(spark, raw_dir, scratch_path(spark, "balanced"), encoders_path=encoders, fmt="parquet")
-    run_train_job(spark, table, "forest", model_path=clf, fmt="parquet", numTrees=5, maxDepth=10)
+    run_train_job(spark, table, "forest", model_path=clf, fmt="parquet")
     model = load_scoring_model(encoders, clf)
     events = message_stream(spark, "parquet", path=sf, schema=I.table(spark, sf, "events").schema,
                             pathGlobFilter="events.parquet", maxFilesPerTrigger="1")
@@ -755,8 +850,10 @@ def q_score_stream(spark, sf):
     q = start_scoring(alerts, "parquet", checkpoint=out + "-ckpt", path=out,
                       trigger={"availableNow": True})
     q.awaitTermination()
-    got = spark.read.parquet(out)
-    return got.withColumn("named", F.col("prediction").isin(*class_map().values())).drop("prediction")
+    got = spark.read.parquet(out).withColumn("_x", F.array(*[F.col(c).cast("double") for c in PROFILES["zeek"].vector]))
+    table = clean.decode_label(M.with_tree_prediction(got, M.tree_nodes(spark, clf), "_x", "_table"), "_table")
+    return table.withColumn("named", F.col("prediction").isin(*class_map().values())) \
+        .withColumn("same", F.col("prediction") == F.col("_table")).drop("prediction", "_x", "_table")
 
 
 # ----------------------------------------------------------------------------- workflow jobs
