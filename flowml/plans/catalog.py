@@ -684,7 +684,9 @@ def _model_path(spark, model):
 def _compared(spark, frame, kind, columns, array="x", **params):
     from flowml.operators import model_tables as M
     from flowml.operators.models import train
-    frame = materialise(frame, "report-input")
+    # A small file is one task; scoring in array functions is worth more of them.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frame = materialise(frame.repartition(parts, columns[0]), "report-input")
     classes = int(frame.agg(F.max("label")).first()[0]) + 1
     model = train(kind, frame, label="label", n_classes=classes, **params)
     path = _model_path(spark, model)
@@ -850,7 +852,8 @@ def q_score_stream(spark, sf):
     q = start_scoring(alerts, "parquet", checkpoint=out + "-ckpt", path=out,
                       trigger={"availableNow": True})
     q.awaitTermination()
-    got = spark.read.parquet(out).withColumn("_x", F.array(*[F.col(c).cast("double") for c in PROFILES["zeek"].vector]))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = spark.read.parquet(out).repartition(parts, "msg_id").withColumn("_x", F.array(*[F.col(c).cast("double") for c in PROFILES["zeek"].vector]))
     table = clean.decode_label(M.with_tree_prediction(got, M.tree_nodes(spark, clf), "_x", "_table"), "_table")
     return table.withColumn("named", F.col("prediction").isin(*class_map().values())) \
         .withColumn("same", F.col("prediction") == F.col("_table")).drop("prediction", "_x", "_table")
