@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from flowml.llm import exact_dedup
 from flowml.session import scratch_path
 
@@ -51,3 +53,51 @@ def test_one_text_holds_most_rows(make_docs):
 
 def test_empty_table(make_docs):
     assert exact_dedup.deduplicate(make_docs([])).collect() == []
+
+
+def test_reopened_index_finds_all_texts(spark, make_docs):
+    """The bucket count belongs to the index, not to the session that opens it."""
+    path, docs = scratch_path(spark, "index-reopen"), make_docs([(i, f"text {i}") for i in range(100)])
+    exact_dedup.DigestIndex(spark, path, 8).ingest(docs)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("2", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            index = exact_dedup.DigestIndex(spark, path)
+            assert index.buckets == 8
+            got = index.ingest(make_docs([(1000 + i, f"text {i}") for i in range(100)])).collect()
+            assert not any(r.kept for r in got) and index.read().count() == 100
+            small = index.compact()
+            assert small.read().count() == 100
+            assert not any(r.kept for r in small.ingest(make_docs([(2000, "text  7")])).collect())
+            small.close()
+            index.close()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, path, 4)
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_batches_decide_as_one_table(odd_docs, make_docs, batches):
+    for docs in (odd_docs, make_docs([(i, f"t{i % 7}") for i in range(40)])):
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        got = exact_dedup.deduplicate_in_batches(docs, batches).collect()
+        assert len(got) == len(rows)
+        assert sorted((r.doc_id, r.keep_id, r.group_size, bytes(r.digest).hex()) for r in got
+                      if r.doc_id is not None) == brute(rows)
+    assert exact_dedup.deduplicate_in_batches(make_docs([]), batches).count() == 0
+
+
+def test_stage_keeps_one_row_of_each_text(spark, odd_docs, make_docs):
+    for docs in (make_docs([(1, "x y"), (1, "x y"), (1, "x  y"), (2, "x y")]),
+                 make_docs([(3, "x"), (5, "x"), (5, "own"), (None, "own"), (None, "alone"), (None, "alone")]), odd_docs):
+        rows = docs.collect()
+        first = {}
+        for r in rows:
+            text = re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "")
+            first.setdefault(text, []).append(r.doc_id)
+        got = exact_dedup.stage(spark, docs, "").collect()
+        want = sorted(((min((i for i in ids if i is not None), default=None), t) for t, ids in first.items()), key=repr)
+        assert sorted(((r.doc_id, re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "")) for r in got), key=repr) == want
+        assert all(r in rows for r in got) and exact_dedup.stage(spark, docs, "").columns == docs.columns
