@@ -152,7 +152,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 #: Batches in which the query's table reaches the index.
-BATCHES = 3
+BATCHES = 2
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
