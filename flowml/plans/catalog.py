@@ -494,18 +494,37 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY d2, nb_key)
 SELECT label, vec_id, rank, nb_key, round(d2, 6) AS d2 FROM r WHERE rank <= 5"""
 
 
-def _knn(spark, points, label_values):
+def _knn(spark, points, label_values, method="cells", max_pivots=None):
     """Neighbours with cells far smaller than the classes, so that all passes run."""
     from flowml.operators.knn import exact_knn
-    got = exact_knn(points, "label", "vec_id", "x", {c: 5 for c in label_values}, SEED, cell_size=64)
+    got = exact_knn(points, "label", "vec_id", "x", {c: 5 for c in label_values}, SEED, cell_size=64,
+                    max_pivots=max_pivots, method=method)
     return got.select("label", "vec_id", F.col("rank").cast("int").alias("rank"), "nb_key", r6(F.col("d2")).alias("d2"))
 
 
-@query("knn_cells", _knn_sql("SELECT CAST(0 AS INTEGER) AS label, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"))
-def q_knn_cells(spark, sf):
-    emb = I.table(spark, sf, "embeddings").select(
+_VECTORS_SQL = _knn_sql("SELECT CAST(0 AS INTEGER) AS label, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings")
+
+
+def _vectors(spark, sf):
+    return I.table(spark, sf, "embeddings").select(
         F.lit(0).alias("label"), "vec_id", F.col("embedding").cast("array<double>").alias("x"))
-    return _knn(spark, emb, [0])
+
+
+@query("knn_cells", _VECTORS_SQL)
+def q_knn_cells(spark, sf):
+    return _knn(spark, _vectors(spark, sf), [0])
+
+
+@query("knn_tree", _VECTORS_SQL)
+def q_knn_tree(spark, sf):
+    """A first level of two pivots, so that cells are cut again by pivots of their own."""
+    return _knn(spark, _vectors(spark, sf), [0], max_pivots=2)
+
+
+@query("knn_blocks", _VECTORS_SQL)
+def q_knn_blocks(spark, sf):
+    """At 64 dimensions comparing blocks shuffles fewer rows than visiting cells."""
+    return _knn(spark, _vectors(spark, sf), [0], method="auto")
 
 
 # Few different points, each held by very many events: answers are ties broken by key.
