@@ -146,6 +146,11 @@ def overall_metrics(df: DataFrame, label: str = "label", pred: str = "prediction
     return _overall(_class_stats(pair_counts(df, label, pred)))
 
 
+def overall_from_pairs(pairs: DataFrame) -> DataFrame:
+    """:func:`overall_metrics` from (label, prediction, n) counts taken elsewhere."""
+    return _overall(_class_stats(pairs))
+
+
 def _overall(stats: DataFrame) -> DataFrame:
     tp, actual, predicted, total = (F.col("tp"), F.col("actual"), F.col("predicted"),
                                     F.col("total"))

@@ -933,3 +933,7 @@ def q_smote_flows(spark, sf):
     out = smote(fl, "label", _FLOW_FEATS, "event_id", k=5, seed=SEED, int_cols=_FLOW_INTS)
     return out.select(*[r6(F.col(c)).alias(c) if c not in _FLOW_INTS else F.col(c)
                         for c in _FLOW_FEATS], "label", "synthetic")
+
+
+# Queries of the jobs that write: quarantine, ledger, observed metrics, tables by class.
+from flowml.plans import catalog_jobs  # noqa: E402, F401

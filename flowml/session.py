@@ -84,6 +84,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def drop_scratch(spark: SparkSession, *frames_or_paths) -> None:
     """Delete scratch written by ``materialise`` / ``scratch_path`` once it is not needed.
     Only paths under this session's own scratch folder are touched."""
