@@ -127,13 +127,17 @@ def centre(signs: np.ndarray) -> int:
 def shared_buckets(points: DataFrame) -> DataFrame:
     """(s, u, c): the points u of every bucket s of c > 1 points. Of buckets with the same points
     one stays."""
-    tokens = materialise(points.select(F.explode("bands").alias("s"), "u", F.xxhash64("set_id").alias("x"),
-                                       F.xxhash64("set_id", F.lit(1)).alias("y")), "band-tokens")
-    facts = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.bit_xor("x").alias("x"),
-                                    F.bit_xor("y").alias("y")).where("c > 1")
+    spark = points.sparkSession
+    tokens = materialise(points.select(F.explode("bands").alias("s"), "u"), "band-tokens")
+    # Most buckets hold one point: they go before anything wider than a count is shuffled.
+    sizes = materialise(tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "bucket-sizes")
+    shared = materialise(attach_by_key(tokens, sizes, "s", "c").select("s", "u", "c"), "shared-points")
+    drop_scratch(spark, tokens)
+    facts = shared.groupBy("s", "c").agg(F.bit_xor(F.xxhash64("u")).alias("x"),
+                                         F.bit_xor(F.xxhash64("u", F.lit(1))).alias("y"))
     once = materialise(facts.groupBy("c", "x", "y").agg(F.min("s").alias("s")).select("s", "c"), "buckets")
-    lists = materialise(attach_by_key(tokens.select("s", "u"), once, "s", "c").select("s", "u", "c"), "bucket-points")
-    drop_scratch(points.sparkSession, tokens)
+    lists = materialise(attach_by_key(shared.select("s", "u"), once, "s", "c").select("s", "u", "c"), "bucket-points")
+    drop_scratch(spark, sizes, shared)
     return lists
 
 
@@ -362,8 +366,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = materialise(usable.groupBy("set_id").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"),
         *[F.first(c).alias(c) for c in ("n", "sign", "bands", "sketch")]), "sets")
-    points = groups.select(F.col("rep").alias("u"), "set_id", "bands")
-    signs, bands = groups.select(F.col("rep").alias("u"), "sign", "n", "sketch"), points.select("u", "bands")
+    # Signatures, bands and sketches are kept once a set; the documents keep their set's name.
+    slim = materialise(rows.select("id", "n", "set_id"), "document-sets")
+    drop_scratch(docs.sparkSession, rows)
+    rows, usable = slim, slim.where("n > 0 and id is not null")
+    points = groups.select(F.col("rep").alias("u"), "bands")
+    signs, bands = groups.select(F.col("rep").alias("u"), "sign", "n", "sketch"), points
     lists = shared_buckets(points)
     tested = materialise(nearest_centres(lists, signs.select("u", "sign"), size), "centre-pairs")
     links, best = verified(docs, tested), True
