@@ -129,15 +129,11 @@ def shared_buckets(points: DataFrame) -> DataFrame:
     one stays."""
     spark = points.sparkSession
     tokens = materialise(points.select(F.explode("bands").alias("s"), "u"), "band-tokens")
-    # Most buckets hold one point: they go before anything wider than a count is shuffled.
-    sizes = materialise(tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "bucket-sizes")
-    shared = materialise(attach_by_key(tokens, sizes, "s", "c").select("s", "u", "c"), "shared-points")
-    drop_scratch(spark, tokens)
-    facts = shared.groupBy("s", "c").agg(F.bit_xor(F.xxhash64("u")).alias("x"),
-                                         F.bit_xor(F.xxhash64("u", F.lit(1))).alias("y"))
+    facts = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("u")).alias("x"),
+                                    F.bit_xor(F.xxhash64("u", F.lit(1))).alias("y")).where("c > 1")
     once = materialise(facts.groupBy("c", "x", "y").agg(F.min("s").alias("s")).select("s", "c"), "buckets")
-    lists = materialise(attach_by_key(shared.select("s", "u"), once, "s", "c").select("s", "u", "c"), "bucket-points")
-    drop_scratch(spark, sizes, shared)
+    lists = materialise(attach_by_key(tokens, once, "s", "c").select("s", "u", "c"), "bucket-points")
+    drop_scratch(spark, tokens)
     return lists
 
 
