@@ -1,5 +1,6 @@
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from flowml.operators import features, model_tables, models
@@ -39,3 +40,13 @@ def test_dense_layers_equal_transform(spark, frame):
         F.count("out").alias("n"), F.max(F.size("weights")).alias("w")).orderBy("layer").collect()] == [
         (0, 9, 3), (1, 9, 9), (2, 4, 9)]
     assert differing(model_tables.with_dense_prediction(model.transform(frame), layers, "x", "table")) == 0
+
+
+@pytest.mark.parametrize("kind,params", [("forest", {"numTrees": 2}), ("mlp", {"maxIter": 2, "n_classes": 2})])
+def test_models_of_two_classes_score_after_metrics_were_observed(spark, frame, kind, params):
+    """Before, a forest's training summary took the session, with its observations, into the tasks."""
+    seen = Observation("rows")
+    frame.where("label is not null").observe(seen, F.count(F.lit(1)).alias("n")).count()
+    model = models.train(kind, frame.withColumn("label", F.col("label") % 2), label="label", **params)
+    assert seen.get["n"] == 700 and not getattr(model, "hasSummary", False)
+    assert model.transform(frame).where("prediction >= 0").count() == 700
