@@ -132,8 +132,10 @@ def shared_buckets(points: DataFrame) -> DataFrame:
     facts = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("u")).alias("x"),
                                     F.bit_xor(F.xxhash64("u", F.lit(1))).alias("y")).where("c > 1")
     once = materialise(facts.groupBy("c", "x", "y").agg(F.min("s").alias("s")).select("s", "c"), "buckets")
-    lists = materialise(attach_by_key(tokens, once, "s", "c").select("s", "u", "c"), "bucket-points")
-    drop_scratch(spark, tokens)
+    # Most tokens are alone in their bucket: they are left out where they lie, before the join.
+    held = materialise(IdBits(once, "s").rows(tokens, "s"), "held-tokens")
+    lists = materialise(attach_by_key(held, once, "s", "c").select("s", "u", "c"), "bucket-points")
+    drop_scratch(spark, tokens, held)
     return lists
 
 
@@ -304,7 +306,7 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int = PIVOT_POINTS) -> Dat
             found = [shingles(t.as_py(), WORDS).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "data"])
 
-    held = docs.where(F.col("id").isNotNull()).select("id", "text", bits.place("id").alias("place")) \
+    held = docs.where(F.col("id").isNotNull()).select("id", "text", bits.hashed("id").alias("hashed")) \
         .mapInArrow(made, "id long, data binary").where("length(data) > 0")
     # Rows that repeat an id and a text are one.
     sets = materialise(held.withColumn("same", F.xxhash64("data")).dropDuplicates(["id", "same"]).drop("same"), "sets")
@@ -369,6 +371,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     points = groups.select(F.col("rep").alias("u"), "bands")
     signs, bands = groups.select(F.col("rep").alias("u"), "sign", "n", "sketch"), points
     lists = shared_buckets(points)
+    # The joins below need the points that share a bucket, a small part as a rule: the others stay where they lie.
+    signs = materialise(IdBits(lists.select("u").distinct(), "u").rows(signs, "u"), "bucket-signs")
     tested = materialise(nearest_centres(lists, signs.select("u", "sign"), size), "centre-pairs")
     links, best = verified(docs, tested), True
     while True:

@@ -127,3 +127,39 @@ def test_groups_of_a_sorted_partition(rows):
     got = list(common.sorted_groups(batches, "part"))
     assert [g.column("part")[0].as_py() for g in got] == sorted(set(keys.tolist()))
     assert sum(g.num_rows for g in common.gathered(got, 10)) == rows
+
+
+def test_points_and_tokens_alone_in_their_buckets_are_not_joined(make_docs, monkeypatch):
+    """Before, every join of a bucket's points shuffled the signatures and tokens of all documents."""
+    rng, seen = np.random.default_rng(6), {"signs": [], "tokens": []}
+    rows = [(i, " ".join(f"d{i}x{j}" for j in range(60))) for i in range(300)]
+    source = [f"s{j}" for j in range(200)]
+    rows += [(1000 + i, mutated(rng, source, 0.01)) for i in range(8)]
+    centres, attach = mh.part_centres, mh.attach_by_key
+
+    def watched_centres(lists, signs, *rest):
+        seen["signs"].append(signs.count())
+        return centres(lists, signs, *rest)
+
+    def watched_attach(left, facts, key, count):
+        if left.columns == ["s", "u"]:
+            seen["tokens"].append(left.count())
+        return attach(left, facts, key, count)
+
+    monkeypatch.setattr(mh, "part_centres", watched_centres)
+    monkeypatch.setattr(mh, "attach_by_key", watched_attach)
+    checked(make_docs(rows))
+    assert seen["signs"] and max(seen["signs"]) < 60
+    assert seen["tokens"] and seen["tokens"][0] < 308 * mh.BANDS / 10
+
+
+@pytest.mark.parametrize("most", [1 << 28, 1 << 10])
+def test_bits_pass_all_given_ids_and_few_others(spark, most):
+    ids = spark.range(-500, 500).selectExpr("id * 7919 as u")
+    bits = common.IdBits(ids, "u", most=most)
+    table = spark.range(-20_000, 20_000).selectExpr("if(id = 3, null, id * 7919) as u", "binary(string(id)) as data")
+    got = bits.rows(table, "u")
+    assert got.schema == table.schema
+    values = [r.u for r in got.collect()]
+    assert set(range(-500 * 7919, 500 * 7919, 7919)) - {3 * 7919} <= set(values) and len(values) == len(set(values))
+    assert most == 1 << 10 or len(values) < 1000 + 0.016 * 40_000
