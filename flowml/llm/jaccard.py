@@ -14,10 +14,11 @@ Jaccard distance (1 - similarity): links are pairs at distance 0.2 or less.
    else such a point y can link to lies, by the triangle inequality, in the window of points z
    with d(z, pivot) <= d(y, pivot) + 0.2, so y is finished if no point of another component
    is in that window. Pivots are taken until all points are finished.
-3. A region too large for one task is cut in Spark: its points are dealt to tasks with a
-   handful of pivots, finished as above, and those left form Voronoi regions of their nearest
-   pivot, boundary points replicated by the window rule, which are joined the same way. A
-   region that does not shrink is compared block by block, so no size is left out.
+3. A region too large for one task is dealt to tasks, and its points meet pivots there, round by
+   round, a bounded number at a time. Only points outside the region's largest component become
+   pivots, each at most once; when none is left, of two linked points one was a pivot, which met
+   all, or both are in that component. Nothing is replicated but the pivots of a round, whose
+   copies are no more than the points, so no size is left out and the disk is in proportion.
 
 Defined results: null text, and text without words, is the empty set, linked with nothing; a
 text of fewer than five words has its whole sequence as its one shingle; a row with a null id
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowml.functions.hashing import hash_u32
-from flowml.llm.common import attach_by_key, keep_rows, table
+from flowml.llm.common import IdBits, attach_by_key, keep_rows, table
 from flowml.llm.graph import components
 from flowml.session import drop_scratch, materialise
 
@@ -49,15 +50,20 @@ RADIUS = 1 - PERCENT / 100
 #: Points and shingles of a region that one task joins.
 REGION_POINTS = 2_000
 REGION_SHINGLES = 8_000_000
+#: Pivots of a large region: so many at first, 16 times as many a round, REGION_POINTS from round LEVELS on.
 PIVOTS = 16
 LEVELS = 4
+#: Numbers of the table in which a task holds the shingles of some pivots.
+PIVOT_CELLS = 1 << 24
 #: Frequent shingles that are put last: at most so many, seen in so many sampled documents.
 FREQUENT, FREQUENT_SEEN, SAMPLED = 65_536, 2, 16
 #: Buckets of a point's sketch.
 SKETCH = 512
 #: Points sharing a shingle: up to PAIR_POINTS they are paired, up to LIST_POINTS compared in
-#: one task, beyond that put in one region unseen.
+#: one task; longer lists are cut by size, and what is longer still is put in one region unseen.
 PAIR_POINTS, LIST_POINTS = 16, 4_096
+#: Signature shingles (with repeats) that are shuffled at a time.
+TOKENS_AT_ONCE = 1 << 24
 FILTER_BITS = 26
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -235,15 +241,42 @@ def near_in_list(sketches: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return parent
 
 
+def shared_lists(tokens: DataFrame) -> DataFrame:
+    """(s, u, c, v) of the tokens (s, u) whose shingle s stands in c > 1 of them, v being its smallest
+    point; ``tokens`` is dropped. Shingles are dealt to passes by their hash, so that what is
+    shuffled at once is bounded; tokens alone in their shingle are not shuffled a second time."""
+    spark = tokens.sparkSession
+    tokens = materialise(tokens.select("s", "u"), "tokens")
+    passes, found = max(1, -(-tokens.count() // TOKENS_AT_ONCE)), None
+    for at in range(passes):
+        mine = tokens.where(F.pmod(F.xxhash64("s"), F.lit(passes)) == at) if passes > 1 else tokens
+        # Summed up before the exchange: no task meets all points of a shared shingle.
+        facts = materialise(mine.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("u").alias("v")).where("c > 1"), "shared")
+        held = materialise(IdBits(facts, "s").rows(mine, "s"), "held-tokens")
+        lists = materialise(attach_by_key(held, facts, "s", "c"), "lists")
+        drop_scratch(spark, facts, held)
+        found = lists if found is None else found.unionByName(lists)
+    drop_scratch(spark, tokens)
+    return found
+
+
+def cut_by_size(lists: DataFrame, info: DataFrame) -> DataFrame:
+    """The lists (s, u) cut by the points' sizes (u, n): sets within the radius are in one class of
+    sizes or in two that follow each other, so a point goes to the part of its class and to the next."""
+    own = F.floor(F.log("n") / F.lit(np.log(100 / PERCENT) + 1e-9))
+    sized = lists.select("s", "u").join(info.select("u", "n").distinct(), "u")
+    parts = sized.select("s", "u", F.explode(F.array(own, own + 1)).alias("part"))
+    return shared_lists(parts.select(F.xxhash64("s", "part").alias("s"), "u").distinct())
+
+
 def candidates(tokens: DataFrame, rows: DataFrame, pair_points: int = PAIR_POINTS,
                list_points: int = LIST_POINTS) -> DataFrame:
     """Edges (u, v) whose components are the regions: no link connects two of them."""
-    # Summed up before the exchange: no task meets all points of a shared shingle.
-    tokens = materialise(tokens.select("s", "u"), "tokens")
-    facts = materialise(tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("u").alias("v")).where("c > 1"), "shared")
-    lists = materialise(attach_by_key(tokens, facts, "s", "c"), "lists")
-    drop_scratch(tokens.sparkSession, tokens, facts)
+    lists = shared_lists(tokens)
     info = rows.select(F.col("id").alias("u"), "n", "sketch")
+    long = lists.where(F.col("c") > list_points)
+    if not long.isEmpty():
+        lists = lists.where(F.col("c") <= list_points).unionByName(cut_by_size(long, info))
     few = lists.where(F.col("c") <= pair_points).select("s", "u")
     pairs = few.join(few.withColumnRenamed("u", "v"), "s").where("u > v").select("u", "v").distinct()
     other = info.select(F.col("u").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("sketch_v"))
@@ -332,96 +365,114 @@ def _join_in_tasks(points: DataFrame) -> DataFrame:
     return points.groupBy("region").applyInPandas(run, "u long, v long").where("u <> v")
 
 
-def _meet(points: DataFrame, pivots: DataFrame, chunk: int) -> DataFrame:
-    """Distances of the points of large regions to their pivots: (region, id, near), near being
-    array<struct<pid, d, linked>>. Points are dealt to chunks, pivots replicated to each."""
-    counts = points.groupBy("region").agg(F.count(F.lit(1)).alias("c"))
-    chunks = counts.select("region", F.ceil(F.col("c") / chunk).alias("chunks"))
-    dealt = points.join(chunks, "region").select(
-        "region", F.pmod(F.xxhash64("id", F.lit("deal")), F.col("chunks")).alias("chunk"), "id", "data")
-    spread = pivots.join(chunks, "region").select(
-        "region", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "id", "data")
+def pivot_links(points: list[np.ndarray], pivots: list[np.ndarray],
+                cells: int = PIVOT_CELLS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What links to pivots, some pivots at a time: (their positions, for each point the smallest
+    of them in its component or -1, for each of them the smallest). Intersections are
+    counted in a table of the pivots' shingles."""
+    sizes = np.fromiter(map(len, points), np.int64, len(points))
+    ends = np.r_[0, np.cumsum(sizes)]
+    flat = np.concatenate(points) if points else np.zeros(0, np.uint64)
+    at = 0
+    while at < len(pivots):
+        stop, total = at + 1, len(pivots[at])
+        while stop < len(pivots) and (total + len(pivots[stop])) * (stop + 1 - at) <= cells:
+            total += len(pivots[stop])
+            stop += 1
+        k, some = stop - at, pivots[at:stop]
+        known = np.unique(np.concatenate(some))
+        table = np.zeros((len(known), k), np.float32)
+        for j, p in enumerate(some):
+            table[np.searchsorted(known, p), j] = 1
+        place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+        hit = known[place] == flat
+        shared = np.zeros((len(points), k), np.int64)
+        for i, (low, high) in enumerate(zip(ends, ends[1:])):
+            mine = place[low:high][hit[low:high]]
+            if len(mine):
+                shared[i] = table[mine].sum(0)
+        linked = measured(shared, np.fromiter(map(len, some), np.int64, k), sizes[:, None])[1]
+        label = np.arange(k)
+        while True:
+            of_points = np.where(linked, label, k).min(1, initial=k)
+            least = np.minimum(label, np.where(linked, of_points[:, None], k).min(0, initial=k))
+            least = np.minimum(least, least[least])
+            if (least == label).all():
+                break
+            label = least
+        yield np.arange(at, stop), np.where(of_points < k, at + of_points, -1), at + label
+        at = stop
+
+
+def _meet(dealt: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Edges (u, v) that connect the points (region, chunk, chunks, id, data) of large regions with the
+    pivots (region, id) within the radius: the pivots are sent to every chunk of their region."""
+    active = dealt.join(pivots.select("region").distinct(), "region", "left_semi")
+    sent = IdBits(pivots).rows(active, "id").join(pivots, ["region", "id"], "left_semi").select(
+        "region", "id", "data", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
 
     def run(key, left, right):
-        if not len(left) or not len(right):
-            return pd.DataFrame({"region": [], "id": [], "pid": [], "d": [], "linked": []})
-        points, out = _sets(left["data"]), []
-        sizes = np.fromiter(map(len, points), np.int64, len(points))
-        for pid, pivot in zip(right["id"], _sets(right["data"])):
-            shared = np.fromiter((common(pivot, x) for x in points), np.int64, len(points))
-            d, linked = measured(shared, len(pivot), sizes)
-            out.append(pd.DataFrame({"region": key[0], "id": left["id"].to_numpy(), "pid": pid, "d": d, "linked": linked}))
-        return pd.concat(out)
-
-    return dealt.groupBy("region", "chunk").cogroup(spread.groupBy("region", "chunk")).applyInPandas(
-        run, "region long, id long, pid long, d double, linked boolean")
-
-
-def _cut_large(points: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """One level of the recursion: (edges found, points of the Voronoi regions left to join)."""
-    counts = points.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("least"))
-    chosen = points.join(counts, "region").where(
-        (F.col("id") == F.col("least"))
-        | (hash_u32(f"pivot{level}", F.col("id")) < F.lit(PIVOTS * 2.0 ** 32) / F.col("c"))).drop("c", "least")
-    pivots = materialise(chosen.dropDuplicates(["region", "id"]), "pivots")
-    met = materialise(_meet(points, pivots, REGION_POINTS), "distances")
-    edges = materialise(met.where("linked").select("region", F.col("id").alias("u"), F.col("pid").alias("v")), "links")
-    label = materialise(components(edges.select("u", "v")), "labels")
-    named = (met.join(label.select(F.col("node").alias("id"), F.col("root").alias("l")), "id", "left")
-             .join(label.select(F.col("node").alias("pid"), F.col("root").alias("lp")), "pid", "left"))
-    foreign = ~F.coalesce("l", "id").eqNullSafe(F.coalesce("lp", "pid"))
-    reach = named.groupBy("region", "pid").agg(F.min(F.when(foreign, F.col("d"))).alias("reach"))
-    tested = met.join(reach, ["region", "pid"])
-    done = F.max((F.col("id") == F.col("pid")) | (F.col("linked") & (
-        F.col("reach").isNull() | (F.col("d") + RADIUS + 1e-9 < F.col("reach")))))
-    home = F.min(F.struct("d", "pid"))
-    state = tested.groupBy("region", "id").agg(done.alias("done"), home.alias("home"),
-                                               F.collect_list(F.struct("pid", "d")).alias("near")).where("not done")
-    inner = F.filter("near", lambda x: (x["d"] <= F.col("home.d") + 2 * RADIUS + 1e-9) & (F.col("home.d") <= 2 * RADIUS))
-    outer = F.when(F.col("home.d") > RADIUS, F.array(F.lit(-1).cast("long"))).otherwise(F.array().cast("array<long>"))
-    cells = F.concat(F.transform(inner, lambda x: x["pid"]), outer)
-    left = state.select("region", "id", F.explode(cells).alias("cell"))
-    named_cells = left.select(F.col("region").alias("old"), "id", F.xxhash64("region", "cell", F.lit(level)).alias("region"))
-    renamed = points.withColumnRenamed("region", "old")
-    rest = materialise(renamed.join(named_cells, ["old", "id"]).select("region", "id", "n", "data"), "regions")
-    drop_scratch(points.sparkSession, pivots, met)
-    return edges.select("u", "v"), rest
-
-
-def _blocks(points: DataFrame) -> DataFrame:
-    """Edges of regions that pivots did not shrink: all blocks against all blocks, exactly."""
-    size = REGION_POINTS // 2
-    counts = points.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / size).alias("b"))
-    mine = points.join(counts, "region").withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("b")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("b") - 1))
-    paired = mine.withColumn("with", other).select(
-        F.xxhash64("region", F.least("block", "with"), F.greatest("block", "with")).alias("region"), "id", "n", "data")
-    return _join_in_tasks(paired)
+        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if len(left) and len(right):
+            ids, pids = left["id"].to_numpy(), right["id"].to_numpy()
+            for part, of_points, of_pivots in pivot_links(_sets(left["data"]), _sets(right["data"])):
+                u += [ids[of_points >= 0], pids[part]]
+                v += [pids[of_points[of_points >= 0]], pids[of_pivots]]
+        return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)})
+
+    return active.groupBy("region", "chunk").cogroup(sent.groupBy("region", "chunk")).applyInPandas(
+        run, "u long, v long").where("u <> v").distinct()
+
+
+def _swept(points: DataFrame, sizes: DataFrame, region_points: int, region_shingles: int, levels: int) -> DataFrame:
+    """Edges (u, v) that connect the components of large regions, ``sizes`` being (region, c points, s shingles)."""
+    spark = points.sparkSession
+    chunks = F.greatest(F.ceil(F.col("c") / region_points), F.ceil(F.col("s") / region_shingles)).alias("chunks")
+    # A chunk's worth of pivots at a time: their copies are as many rows as the region has.
+    limit = F.greatest(F.lit(1), F.floor(F.col("c") / F.col("chunks"))).alias("limit")
+    shape = sizes.select("region", "c", chunks).select("region", "chunks", limit)
+    deal = F.pmod(F.xxhash64("id", F.lit("deal")), F.col("chunks")).alias("chunk")
+    dealt = materialise(points.join(shape, "region").select("region", deal, "chunks", "id", "data"), "large-points")
+    ids = dealt.select("region", "id").distinct()
+    label, done, level = None, None, 0
+    while True:
+        now = ids.withColumn("root", F.col("id")) if label is None else ids.join(
+            label.select(F.col("u").alias("id"), F.col("v").alias("r")), "id", "left") \
+            .select("region", "id", F.coalesce("r", "id").alias("root"))
+        counts = now.groupBy("region", "root").agg(F.count(F.lit(1)).alias("c"))
+        largest = counts.groupBy("region").agg(F.max(F.struct("c", F.negate("root").alias("neg"))).alias("m")) \
+            .select("region", F.negate("m.neg").alias("main"))
+        outside = now.join(largest, "region").where("root <> main").select("region", "id")
+        if done is not None:
+            outside = outside.join(done, ["region", "id"], "left_anti")
+        left = outside.groupBy("region").agg(F.count(F.lit(1)).alias("open"), F.min("id").alias("least")).join(shape, "region")
+        most = F.col("limit") if level >= levels else F.least("limit", F.lit(PIVOTS * 16 ** level))
+        chosen = outside.join(left, "region").where(
+            (F.col("id") == F.col("least")) | (hash_u32(f"pivot{level}", F.col("id")) * F.col("open") < most * F.lit(2.0 ** 32)))
+        pivots = materialise(chosen.select("region", "id"), "pivots")
+        if pivots.isEmpty():
+            edges = materialise(now.where("root <> id").select(F.col("id").alias("u"), F.col("root").alias("v")), "links")
+            drop_scratch(spark, dealt, *([] if label is None else [label]))
+            return edges
+        met = materialise(_meet(dealt, pivots), "links")
+        roots = components(met if label is None else met.unionByName(label))
+        before, label = label, materialise(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).where("u <> v"), "labels")
+        drop_scratch(spark, met, *([] if before is None else [before]))
+        done, level = pivots if done is None else done.unionByName(pivots), level + 1
 
 
 def links(points: DataFrame, region_points: int = REGION_POINTS, region_shingles: int = REGION_SHINGLES,
           levels: int = LEVELS) -> DataFrame:
     """Edges (u, v) that connect exactly the components of the links inside each region."""
-    found = None
-    for level in range(levels + 1):
-        counts = points.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).where("c > 1")
-        large = counts.where((F.col("c") > region_points) | (F.col("s") > region_shingles) & (F.col("c") > 2))
-        sizes = materialise(large.select("region"), "large-regions")
-        some = bool(sizes.head(1))
-        small = points.join(counts.select("region"), "region", "left_semi")
-        if some:
-            small = small.join(sizes, "region", "left_anti")
-        edges = materialise(_join_in_tasks(small), "links")
-        found = edges if found is None else found.unionByName(edges)
-        if not some:
-            break
-        big = materialise(points.join(sizes, "region", "left_semi"), "large-points")
-        if level == levels:
-            found = found.unionByName(materialise(_blocks(big), "links"))
-            break
-        edges, points = _cut_large(big, level)
-        found = found.unionByName(edges)
-    return found
+    counts = points.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).where("c > 1")
+    large = counts.where((F.col("c") > region_points) | (F.col("s") > region_shingles) & (F.col("c") > 2))
+    sizes = materialise(large, "large-regions")
+    some = not sizes.isEmpty()
+    small = points.join(counts.select("region"), "region", "left_semi")
+    if some:
+        small = small.join(sizes, "region", "left_anti")
+    found = materialise(_join_in_tasks(small), "links")
+    return found.unionByName(_swept(points, sizes, region_points, region_shingles, levels)) if some else found
 
 
 def id_links(usable: DataFrame, groups: DataFrame) -> DataFrame:

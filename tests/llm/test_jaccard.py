@@ -173,3 +173,61 @@ def test_an_id_with_two_texts_links_them(make_docs):
     got = jaccard.jaccard_components(make_docs(rows)).collect()
     assert len(got) == len(rows) and want[4] == want[5] == want[6] == 3
     assert all(r.component_id == want[r.doc_id] for r in got)
+
+
+def test_points_of_a_large_region_are_not_replicated(make_docs, monkeypatch):
+    # Every text is linked to the last one only, and at one distance from all others: no pivot parts them.
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(w if j != i % 50 + 5 else f"e{i}" for j, w in enumerate(words))) for i in range(45)]
+    rows.append((45, " ".join(words)))
+    held, plain = [], jaccard.materialise
+
+    def seen(df, name):
+        out = plain(df, name)
+        if "data" in out.columns:
+            held.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", seen)
+    got = jaccard.jaccard_components(make_docs(rows), region_points=12, levels=3).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute(rows)
+    assert len(held) > 1 and max(held) <= len(rows)
+
+
+def test_long_lists_are_cut_by_size(make_docs):
+    # Texts of 20 and of 40 words, of the same common ones: unlike by size alone.
+    text = {n: " ".join(f"s{i}" for i in range(n)) for n in (20, 40)}
+    rows = [(n * 100 + i, f"{text[n]} x{n}y{i}") for n in text for i in range(6)]
+    docs = jaccard._text(make_docs(rows), "doc_id", "text")
+    described = jaccard.described(docs, np.zeros(0, np.uint64)).where("n > 0").cache()
+    tokens = described.selectExpr("explode(sign) s", "id u")
+    near = jaccard.candidates(tokens, described, 1, 6)
+    roots = {r.node: r.root for r in graph.components(near).collect()}
+    assert {roots[2000 + i] for i in range(6)} == {2000} and {roots[4000 + i] for i in range(6)} == {4000}
+
+
+def test_pivot_links_match_intersections():
+    rng = np.random.default_rng(3)
+    base = rng.choice(2**60, 40).astype(np.uint64)
+    sets = [np.unique(base[rng.random(40) > rng.random() * 0.3]) for _ in range(30)] + \
+        [np.unique(rng.choice(2**60, 9).astype(np.uint64)) for _ in range(5)]
+    pivots = [*sets[:9], np.unique(rng.choice(2**60, 9).astype(np.uint64))]
+    for cells in (1, 500, 1 << 24):
+        edges = [(i, j) for part, of_points, of_pivots in jaccard.pivot_links(sets, pivots, cells)
+                 for i, j in [*((i, int(j)) for i, j in enumerate(of_points) if j >= 0),
+                              *((100 + int(i), int(j)) for i, j in zip(part, of_pivots))]]
+        parts = [int(part[-1]) for part, *_ in jaccard.pivot_links(sets, pivots, cells)]
+        assert parts[-1] == len(pivots) - 1 and (len(parts) == 1) == (cells > 500)
+        root = {**{i: {i} for i in range(len(sets))}, **{100 + j: {100 + j} for j in range(len(pivots))}}
+        want = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(pivots)
+                if 100 * jaccard.common(a, b) >= 80 * (len(a) + len(b) - jaccard.common(a, b))]
+        assert merged(root, [(i, 100 + j) for i, j in edges]) == merged(root, [(i, 100 + j) for i, j in want])
+
+
+def merged(sets, pairs):
+    of = {k: set(v) for k, v in sets.items()}
+    for a, b in pairs:
+        both = of[a] | of[b]
+        for x in both:
+            of[x] = both
+    return {k: min(v) for k, v in of.items()}

@@ -3,6 +3,7 @@
 import os
 import subprocess
 import sys
+import time
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -40,3 +41,18 @@ def test_materialise_and_drop(spark):
     assert df.count() == 5 and os.path.exists(path)
     session.drop_scratch(spark, df)
     assert not os.path.exists(path)
+
+
+def test_materialise_leaves_no_shuffle_files(spark):
+    def shuffles():
+        root = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+        return {p.name for p in root.rglob("shuffle_*")}
+
+    before = shuffles()
+    df = session.materialise(spark.range(1000).selectExpr("id % 7 k").groupBy("k").count(), "t")
+    deadline = time.time() + 10
+    while shuffles() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before and df.count() == 7
+    # The setting is as before.
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
