@@ -79,3 +79,19 @@ def test_missing_values_go_right_and_null_rows_score(spark):
 def test_thresholds_are_midpoints_or_equal_counts():
     assert tree_learner.thresholds(np.array([3.0, 1.0, 1.0, 2.0]), 10).tolist() == [1.5, 2.5]
     assert len(tree_learner.thresholds(np.arange(1000.0), 9)) == 9
+
+
+def test_gains_are_computed_for_the_best_splits_only(monkeypatch):
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 4, 3_000)
+    bins = np.stack([np.clip(rng.normal(y * 3 + 20, 9), 0, 39) for _ in range(4)], 1).astype(np.uint8)
+    spec = {"arity": [0] * 4, "splits": [np.arange(39.0)] * 4, "classes": 4, "impurity": "entropy", "depth": 12,
+            "unordered": [False] * 4, "bins": 40}
+    seen, plain = [], tree_learner._gains
+    monkeypatch.setattr(tree_learner, "_gains", lambda left, *a: seen.append(left.shape[1]) or plain(left, *a))
+    got, few = tree_learner.grow(bins, y, np.ones(3_000), 0, spec), sum(seen)
+    seen.clear()
+    monkeypatch.setattr(tree_learner, "_near_best", lambda left, whole, at, table: np.arange(len(at)))
+    want = tree_learner.grow(bins, y, np.ones(3_000), 0, spec)
+    assert 3 * few < sum(seen) and len(got["left"]) > 100
+    assert all((got[k] == want[k]).all() for k in got if k != "set")
